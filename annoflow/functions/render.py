@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.column import Column
 
 from annoflow.fixed_values import XCES_NAMESPACE, XCES_VERSION
-from annoflow.functions.values import with_type_property
+from annoflow.functions.values import bind, with_type_property
 from annoflow.operators.group import with_groups
 
 # Characters XML 1.0 cannot hold are written as spaces.
@@ -40,20 +42,16 @@ def utf16_annotations(annotated: DataFrame) -> DataFrame:
         lambda i: i.isNotNull(),
     )
 
-    def moved(offset: Column) -> Column:
-        return offset + F.size(F.filter("_wide", lambda i: i < offset))
-
-    shifted = F.transform(
-        "annotations",
-        lambda a: a.withField("start", moved(a["start"])).withField("end", moved(a["end"])),
-    )
-    return (
-        annotated.withColumn("_wide", F.when(F.col("text").rlike(_PAST_BMP), wide))
-        .withColumn(
+    def shifted(places: Column) -> Column:
+        moved = lambda offset: offset + F.size(F.filter(places, lambda i: i < offset))
+        return F.transform(
             "annotations",
-            F.when(F.col("_wide").isNull(), F.col("annotations")).otherwise(shifted),
+            lambda a: a.withField("start", moved(a["start"])).withField("end", moved(a["end"])),
         )
-        .drop("_wide")
+
+    return annotated.withColumn(
+        "annotations",
+        F.when(F.col("text").rlike(_PAST_BMP), bind(wide, shifted)).otherwise(F.col("annotations")),
     )
 
 
@@ -264,10 +262,7 @@ def with_inline(annotated: DataFrame, *, include_features: bool = False) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [
-                _inline(text.as_py(), annotations.as_py(), include_features)
-                for text, annotations in zip(batch.column("text"), batch.column("annotations"))
-            ]
+            done = list(_inline_batch(batch, include_features))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
@@ -285,8 +280,22 @@ _XML_TEXT = {ord("&"): "&amp;", ord("<"): "&lt;", ord(">"): "&gt;", **_XML_SPACE
 _XML_ATTRIBUTE = {ord('"'): "&quot;", 10: "&#10;", 13: "&#13;", 9: "&#9;", **_XML_TEXT}
 
 
-def _inline(text: str | None, annotations: list[dict] | None, with_features: bool):
-    text = text or ""
+def _inline_batch(batch: pa.RecordBatch, with_features: bool) -> Iterator[tuple[str, int]]:
+    column = batch.column("annotations")
+    bounds = column.offsets.to_pylist()
+    start, end, number = (
+        pc.struct_field(column.values, n).to_numpy() for n in ("start", "end", "ann_id")
+    )
+    types = pc.struct_field(column.values, "type").to_pylist()
+    features = pc.struct_field(column.values, "features").to_pylist() if with_features else None
+    for i, text in enumerate(batch.column("text").to_pylist()):
+        rows = slice(bounds[i], bounds[i + 1])
+        order = bounds[i] + np.lexsort((number[rows], -end[rows], start[rows]))
+        spans = zip(start[order].tolist(), end[order].tolist(), order.tolist())
+        yield _inline(text or "", spans, types, features)
+
+
+def _inline(text: str, spans, types: list[str], features: list | None) -> tuple[str, int]:
     out = ["<document>"]
     open_tags: list[tuple[int, str]] = []
     at = crossing = 0
@@ -299,20 +308,19 @@ def _inline(text: str | None, annotations: list[dict] | None, with_features: boo
             out.append(f"</{name}>")
             at = end
 
-    for a in sorted(annotations or (), key=lambda a: (a["start"], -a["end"], a["ann_id"])):
-        close_until(a["start"])
-        if open_tags and open_tags[-1][0] < a["end"]:
+    for start, end, row in spans:
+        close_until(start)
+        if open_tags and open_tags[-1][0] < end:
             crossing += 1
             continue
-        out.append(text[at : a["start"]].translate(_XML_TEXT))
-        at = a["start"]
+        out.append(text[at:start].translate(_XML_TEXT))
+        at = start
         attributes = "".join(
             f' {k}="{(v or "").translate(_XML_ATTRIBUTE)}"'
-            for k, v in sorted(a["features"] or ())
-            if with_features
+            for k, v in sorted((features[row] or ()) if features else ())
         )
-        out.append(f"<{a['type']}{attributes}>")
-        open_tags.append((a["end"], a["type"]))
+        out.append(f"<{types[row]}{attributes}>")
+        open_tags.append((end, types[row]))
     close_until(len(text))
     out.append(text[at:].translate(_XML_TEXT))
     out.append("</document>")

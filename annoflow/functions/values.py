@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
@@ -11,6 +11,15 @@ from annoflow.fixed_values import TRUE_WORDS
 from annoflow.model import Selection
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row.
+
+    A column used inside a lambda may be inlined by the optimizer and computed
+    again for every array element; a lambda variable never is.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def truthy(value: Column) -> Column:
     """Whether text means true: a true word, ignoring case and outer space."""
     return F.coalesce(F.lower(F.trim(value)).isin(*TRUE_WORDS), F.lit(False))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.column import Column
 
 from annoflow.fixed_values import DEFAULT_SET_LABEL
-from annoflow.functions.values import selected
+from annoflow.functions.values import bind, selected
 from annoflow.model import Selection
 
 
@@ -33,11 +33,14 @@ def annotation_counts(annotations: Column, selections: Sequence[Selection]) -> C
         return F.create_map().cast("map<string,bigint>")
     pairs: list[Column] = []
     for key, one in keys.items():
-        hits = F.filter(annotations, lambda a, one=one: selected(a["set_name"], a["type"], [one]))
-        pairs += [F.lit(key), F.size(hits).cast("long")]
+        pairs += [F.lit(key), F.size(_covered(annotations, one)).cast("long")]
     return F.create_map(*pairs)
 
 
+def _covered(annotations: Column, selection: Selection) -> Column:
+    return F.filter(annotations, lambda a: selected(a["set_name"], a["type"], [selection]))
+
+
 def label_of(by: str) -> Callable[[Column], Column]:
     """How entities are labelled: by ``type``, else by annotation set."""
     if by == "type":
@@ -70,37 +73,36 @@ def with_groups(
             ),
         )
     )
-    places = F.when(F.size("_sorted") > 0, F.sequence(F.lit(1), F.size("_sorted"))).otherwise(
+    return annotated.withColumn("groups", bind(ordered, _cut_by_label))
+
+
+def _cut_by_label(items: Column) -> Column:
+    """Cut an array sorted by ``label`` into (label, items)."""
+    places = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items))).otherwise(
         F.array().cast("array<int>")
     )
-    first = F.filter(
-        places,
-        lambda i: (i == 1)
-        | (F.element_at("_sorted", i)["label"] != F.element_at("_sorted", F.greatest(i - 1, F.lit(1)))["label"]),
-    )
-    groups = F.transform(
-        "_first",
-        lambda begin, i: F.struct(
-            F.element_at("_sorted", begin)["label"].alias("label"),
-            F.slice(
-                "_sorted",
-                begin,
-                F.coalesce(F.get("_first", i + 1), F.size("_sorted") + 1) - begin,
-            ).alias("items"),
+    label_at = lambda i: F.element_at(items, i)["label"]
+    begins = F.filter(places, lambda i: (i == 1) | (label_at(i) != label_at(F.greatest(i - 1, F.lit(1)))))
+    return bind(
+        begins,
+        lambda starts: F.transform(
+            starts,
+            lambda begin, i: F.struct(
+                label_at(begin).alias("label"),
+                F.slice(
+                    items, begin, F.coalesce(F.get(starts, i + 1), F.size(items) + 1) - begin
+                ).alias("items"),
+            ),
         ),
     )
-    return (
-        annotated.withColumn("_sorted", ordered)
-        .withColumn("_first", first)
-        .withColumn("groups", groups)
-        .drop("_sorted", "_first")
-    )
 
 
 def entities(annotated: DataFrame, by: str = "type") -> DataFrame:
     """One row per document and label: ``label`` and ``items`` in text order."""
     grouped = with_groups(annotated, by)
-    return grouped.select("doc_id", F.inline("groups"))
+    # The outer form: the plain one makes the optimizer add a filter that would
+    # group every document a second time.
+    return grouped.select("doc_id", F.inline_outer("groups")).filter("label is not null")
 
 
 def merged(annotated: DataFrame) -> DataFrame:

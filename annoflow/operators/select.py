@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.column import Column
 
-from annoflow.functions.values import selected, truthy
+from annoflow.functions.values import bind, selected, truthy
 from annoflow.model import Selection, empty_map
 
 
@@ -66,30 +66,29 @@ def with_window(
     conflict = F.concat(
         F.lit(f"Found more than one {window_type} annotation for document "), F.col("doc_id")
     )
-    return (
-        annotated.withColumn("_windows", found)
-        .withColumn(
-            "window",
-            F.when(
-                F.size("_windows") > 0,
-                F.struct(
-                    F.col("_windows")[0]["start"].alias("start"),
-                    F.col("_windows")[0]["end"].alias("end"),
-                    F.col("_windows")[0]["features"].alias("features"),
-                ),
-            ).otherwise(whole),
-        )
-        .withColumn(
-            "error", F.coalesce("error", F.when(F.size("_windows") > 1, conflict))
-        )
-        .drop("_windows")
+    one = lambda windows: F.when(
+        F.size(windows) > 0,
+        F.struct(
+            windows[0]["start"].alias("start"),
+            windows[0]["end"].alias("end"),
+            windows[0]["features"].alias("features"),
+        ),
+    )
+    return annotated.withColumns(
+        {
+            "window": F.coalesce(bind(found, one), whole),
+            "error": F.coalesce("error", F.when(F.size(found) > 1, conflict)),
+        }
     )
 
 
 def inside_window(annotations: Column, window: Column) -> Column:
     """The annotations that lie within the window."""
-    return F.filter(
-        annotations, lambda a: (a["start"] >= window["start"]) & (a["end"] <= window["end"])
+    return bind(
+        window,
+        lambda w: F.filter(
+            annotations, lambda a: (a["start"] >= w["start"]) & (a["end"] <= w["end"])
+        ),
     )
 
 
@@ -102,10 +101,11 @@ def window_text(text: Column, window: Column) -> Column:
 def apply_window(annotated: DataFrame) -> DataFrame:
     """Cut text and annotations down to ``window``, offsets relative to it."""
     window = F.col("window")
-    moved = F.transform(
-        inside_window(F.col("annotations"), window),
-        lambda a: a.withField("start", a["start"] - window["start"]).withField(
-            "end", a["end"] - window["start"]
+    moved = bind(
+        window["start"],
+        lambda origin: F.transform(
+            inside_window(F.col("annotations"), window),
+            lambda a: a.withField("start", a["start"] - origin).withField("end", a["end"] - origin),
         ),
     )
     return annotated.withColumns(

@@ -218,7 +218,7 @@ COUNTED = [
               count_if(set_name = '' AND type = 'Capitalised') AS capitalised,
               count_if(set_name = 'Layout') AS layout
             FROM ann GROUP BY doc_id),
-      d AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(email, 0) AS email,
+      d AS (SELECT CAST(documents.doc_id AS VARCHAR) AS doc_id, coalesce(email, 0) AS email,
               coalesce(capitalised, 0) AS capitalised, coalesce(layout, 0) AS layout
             FROM documents LEFT JOIN n ON CAST(documents.doc_id AS VARCHAR) = n.doc_id)
       SELECT doc_id, ':Email' AS key, CAST(email AS BIGINT) AS n FROM d
