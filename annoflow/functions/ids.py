@@ -12,6 +12,8 @@ from itertools import product
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
+from annoflow.functions.values import bind
+
 
 def _steps(pointer: str) -> list[str]:
     if pointer == "":
@@ -51,7 +53,7 @@ def pointer_value(variant: Column, pointer: str) -> Column:
 
 def id_by_pointer(json: Column, pointer: str) -> Column:
     """ID at a pointer. Null or empty means the object is not a document."""
-    return pointer_value(F.try_parse_json(json), pointer)
+    return bind(F.try_parse_json(json), lambda variant: pointer_value(variant, pointer))
 
 
 def id_by_template(json: Column, template: str) -> Column:
@@ -60,21 +62,30 @@ def id_by_template(json: Column, template: str) -> Column:
     The leftmost alternative whose pointers all resolve to scalars wins; null if
     none does. Inside braces ``~2`` stands for ``}`` and ``~3`` for ``|``.
     """
-    variant = F.try_parse_json(json)
-    alternatives = []
+    compiled: list[list[tuple[str, bool]]] = []
     for alternative in template.rstrip("|").split("|"):
         pieces = re.split(r"\{([^}]+)\}", alternative)
         if len(pieces) < 3:
             raise ValueError("every alternative of an ID template needs a pointer")
-        parts = []
-        for i, piece in enumerate(pieces):
-            if i % 2:
-                pointer = piece.replace("~3", "|").replace("~2", "}")
-                parts.append(pointer_value(variant, pointer))
-            elif piece:
-                parts.append(F.lit(piece))
-        alternatives.append(F.concat(*parts))
-    return F.coalesce(*alternatives)
+        compiled.append(
+            [
+                (piece.replace("~3", "|").replace("~2", "}") if i % 2 else piece, bool(i % 2))
+                for i, piece in enumerate(pieces)
+                if piece
+            ]
+        )
+
+    def resolved(variant: Column) -> Column:
+        return F.coalesce(
+            *(
+                F.concat(
+                    *(pointer_value(variant, piece) if is_pointer else F.lit(piece) for piece, is_pointer in parts)
+                )
+                for parts in compiled
+            )
+        )
+
+    return bind(F.try_parse_json(json), resolved)
 
 
 def is_document(doc_id: Column) -> Column:

@@ -8,6 +8,7 @@ in ``mapInArrow``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.column import Column
 
 from annoflow.fixed_values import XCES_NAMESPACE, XCES_VERSION
-from annoflow.functions.values import bind, with_type_property
+from annoflow.functions.values import bind
 from annoflow.operators.group import with_groups
 
 # Characters XML 1.0 cannot hold are written as spaces.
@@ -59,27 +60,36 @@ def utf16_annotations(annotated: DataFrame) -> DataFrame:
 
 
 def _json_string(value: Column) -> Column:
+    """A JSON string; only text that needs escapes goes through the JSON writer."""
     listed = F.to_json(F.array(value))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return F.when(
+        value.rlike(r'["\\\x00-\x1F\x7F]'), F.substring(listed, F.lit(2), F.length(listed) - 2)
+    ).otherwise(F.concat(F.lit('"'), value, F.lit('"')))
 
 
 def _json_members(features: Column, *reserved: str) -> Column:
     """The features as JSON object members, each led by a comma."""
     kept = F.map_filter(features, lambda key, _: ~key.isin(*reserved))
-    text = F.to_json(kept, {"ignoreNullFields": "false"})
-    inner = F.substring(text, F.lit(2), F.length(text) - 2)
-    return F.when(F.length(inner) > 0, F.concat(F.lit(","), inner)).otherwise(F.lit(""))
+    inner = F.btrim(F.to_json(kept, {"ignoreNullFields": "false"}), F.lit("{}"))
+    led = F.regexp_replace(inner, "^(?=.)", ",")
+    return F.when(F.cardinality(features) > 0, led).otherwise(F.lit(""))
 
 
 def json_entity(annotation: Column, type_property: str | None = None) -> Column:
-    features = with_type_property(annotation["features"], annotation["type"], type_property)
+    reserved = ["indices"]
+    typed: list[Column] = []
+    if type_property:
+        reserved.append(type_property)
+        name = json.dumps(type_property, ensure_ascii=False)
+        typed = [F.lit(f",{name}:"), _json_string(annotation["type"])]
     return F.concat(
         F.lit('{"indices":['),
         annotation["start"].cast("string"),
         F.lit(","),
         annotation["end"].cast("string"),
         F.lit("]"),
-        F.coalesce(_json_members(features, "indices"), F.lit("")),
+        _json_members(annotation["features"], *reserved),
+        *typed,
         F.lit("}"),
     )
 
@@ -108,14 +118,13 @@ def with_json(
             F.lit("]"),
         ),
     )
-    text = F.to_json(F.struct("text"))
     extra = (
-        F.coalesce(_json_members(F.col("window.features"), "text", "entities"), F.lit(""))
+        _json_members(F.col("window.features"), "text", "entities")
         if "window" in annotated.columns
         else F.lit("")
     )
     rendered = F.concat(
-        F.substring(text, F.lit(1), F.length(text) - 1),
+        F.rtrim(F.to_json(F.struct("text")), F.lit("}")),
         F.lit(',"entities":{'),
         F.array_join(groups, ","),
         F.lit("}"),

@@ -111,7 +111,7 @@ def merged(annotated: DataFrame) -> DataFrame:
     Identical means same number, type, offsets and features. The result is the
     long form without ``set_name``.
     """
-    as_entries = F.array_distinct(
+    ordered = F.sort_array(
         F.transform(
             "annotations",
             lambda a: F.struct(
@@ -123,7 +123,15 @@ def merged(annotated: DataFrame) -> DataFrame:
             ),
         )
     )
+    # Equal neighbours of a sorted array: array_distinct compares all pairs.
+    once = bind(
+        ordered,
+        lambda items: F.filter(
+            items, lambda a, i: (i == 0) | (a != F.element_at(items, F.greatest(i, F.lit(1))))
+        ),
+    )
     return (
-        annotated.select("doc_id", F.inline(as_entries))
+        annotated.select("doc_id", F.inline_outer(once))
+        .filter("ann_id is not null")
         .withColumn("features", F.map_from_entries("features"))
     )

@@ -369,7 +369,7 @@ def window_conflict(spark, sf_dir):
 def _with_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the feature ``save``, missing where there is no label."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
-    docs = table(spark, sf_dir, "documents")
+    docs = balanced(table(spark, sf_dir, "documents").select("doc_id", "text"))
     save = F.when(F.col("quality") == 1, " Yes ").when(F.col("quality") == 0, "off")
     joined = docs.join(labels, docs.doc_id == labels.id, "left")
     return as_documents(
@@ -801,7 +801,7 @@ def json_render(spark, sf_dir):
 def _digest(done: DataFrame) -> DataFrame:
     return done.select(
         "doc_id",
-        F.md5(F.encode("rendered", "UTF-8")).alias("digest"),
+        F.md5(F.col("rendered")).alias("digest"),
         F.length("rendered").cast("long").alias("chars"),
     )
 

@@ -78,7 +78,7 @@ def _flat_results(results: DataFrame) -> DataFrame:
 @query(
     f"""WITH {ANN}, {_RESULTS}
       SELECT 'FINISHED' AS final_state, count(*) AS total_documents,
-             count_if(NOT failed) AS successfully_processed, count_if(failed) AS with_error,
+             CAST(count_if(NOT failed) AS BIGINT) AS successfully_processed, CAST(count_if(failed) AS BIGINT) AS with_error,
              CAST(sum(file_size) AS BIGINT) AS total_bytes,
              CAST(sum(document_length) AS BIGINT) AS total_characters FROM res"""
 )
