@@ -53,24 +53,40 @@ def with_running_total(
     )
     counted = written(rows.mapInArrow(_totals_within_task(group_by), schema), "running-total")
 
-    group = F.col(group_by) if group_by else F.lit(0)
+    carried = _carried_by_group(counted, group_by) if group_by else _carried(counted)
+    keys = ["_part", group_by] if group_by else ["_part"]
+    return (
+        counted.join(F.broadcast(carried), keys, "left")
+        .withColumn(name, F.col("_within") + F.coalesce("_carry", F.lit(0)))
+        .select(*df.columns, name)
+    )
+
+
+def _carried(counted: DataFrame) -> DataFrame:
+    """Per task, the total of all tasks before it: one number per task."""
+    totals = counted.groupBy("_part").agg(F.sum("_value")).collect()
+    rows, total = [], 0
+    for part, value in sorted(totals):
+        rows.append((part, total))
+        total += value
+    return counted.sparkSession.createDataFrame(rows, "_part int, _carry long")
+
+
+def _carried_by_group(counted: DataFrame, group_by: str) -> DataFrame:
+    """Per task, the total before it of the one group that straddles its edge.
+
+    The window sees one row per task and group, the result has at most one row
+    per task.
+    """
     earlier = (
-        Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(group_by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # At most one row per task and group here, and at most one per task after
-    # the filter.
-    carried = (
-        counted.groupBy("_part", group.alias("_group"))
+    return (
+        counted.groupBy("_part", group_by)
         .agg(F.sum("_value").alias("_total"))
         .withColumn("_carry", F.sum("_total").over(earlier))
         .filter("_carry <> 0")
-        .select("_part", "_group", "_carry")
-    )
-    return (
-        counted.withColumn("_group", group)
-        .join(F.broadcast(carried), ["_part", "_group"], "left")
-        .withColumn(name, F.col("_within") + F.coalesce("_carry", F.lit(0)))
-        .drop("_part", "_group", "_carry", "_within", "_value")
+        .select("_part", group_by, "_carry")
     )
 
 

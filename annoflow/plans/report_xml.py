@@ -90,7 +90,11 @@ def import_xml(spark: SparkSession, path: str) -> DataFrame:
         return F.when(body.contains(f"<{tag}>"), _unescaped(found))
 
     def attribute(name: str) -> Column:
-        return _unescaped(F.regexp_extract(body, rf"""(?s)(?:^|\s){name}\s*=\s*["']([^"']*)["']""", 1))
+        # Quoted either way; the group of the other quote is empty.
+        pattern = rf"""(?s)^(?:[^>]*?\s)?{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+        return _unescaped(
+            F.concat(F.regexp_extract(body, pattern, 1), F.regexp_extract(body, pattern, 2))
+        )
 
     counted = F.regexp_extract_all(
         body, F.lit(r'<annotationCount type="([^"]*)" count="(?:\d+)"'), F.lit(1)

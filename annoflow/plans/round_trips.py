@@ -358,7 +358,13 @@ def multi_output(spark, sf_dir):
         F.lit("failed").alias("output"), F.lit(None).cast("long").alias("items")
     )
     rows = json_items("conditional").union(everything).union(windowed).union(failed)
-    return rows.groupBy("output").agg(F.count("*").alias("docs"), F.sum("items").alias("items"))
+    # A row of zero for each, so that an output that took nothing shows.
+    names = spark.createDataFrame(
+        [(n, 0, None) for n in ("conditional", "everything", "windowed", "failed")],
+        "output string, docs long, items long",
+    )
+    counted = names.union(rows.select("output", F.lit(1).cast("long"), "items"))
+    return counted.groupBy("output").agg(F.sum("docs").alias("docs"), F.sum("items").alias("items"))
 
 
 @query(

@@ -18,6 +18,9 @@ from annoflow.plans.job import run
 from annoflow.sources.json_stream import compact, json_documents, read_objects
 
 
+_BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
 def arriving_lines(spark: SparkSession, path: str, **options: Any) -> DataFrame:
     """Stream of column ``json`` from newline-delimited files as they appear."""
     return _reader(spark, options).format("text").load(path)
@@ -25,7 +28,7 @@ def arriving_lines(spark: SparkSession, path: str, **options: Any) -> DataFrame:
 
 def arriving_files(spark: SparkSession, path: str, **options: Any) -> DataFrame:
     """Stream of column ``path`` of the files in a folder as they appear."""
-    listed = _reader(spark, options).format("binaryFile").load(path)
+    listed = _reader(spark, options).format("binaryFile").schema(_BINARY_FILE).load(path)
     return listed.select("path")
 
 
