@@ -19,6 +19,7 @@ from pyspark.sql.column import Column
 
 from annoflow.fixed_values import XCES_NAMESPACE, XCES_VERSION
 from annoflow.functions.values import bind
+from annoflow.operators.annotate import small_parts
 from annoflow.operators.group import with_groups
 
 # Characters XML 1.0 cannot hold are written as spaces.
@@ -270,7 +271,7 @@ def with_inline(annotated: DataFrame, *, include_features: bool = False) -> Data
     names = annotated.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in small_parts(whole)):
             done = list(_inline_batch(batch, include_features))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -291,12 +292,12 @@ _XML_ATTRIBUTE = {ord('"'): "&quot;", 10: "&#10;", 13: "&#13;", 9: "&#9;", **_XM
 
 def _inline_batch(batch: pa.RecordBatch, with_features: bool) -> Iterator[tuple[str, int]]:
     column = batch.column("annotations")
-    bounds = column.offsets.to_pylist()
-    start, end, number = (
-        pc.struct_field(column.values, n).to_numpy() for n in ("start", "end", "ann_id")
-    )
-    types = pc.struct_field(column.values, "type").to_pylist()
-    features = pc.struct_field(column.values, "features").to_pylist() if with_features else None
+    bounds = np.asarray(column.offsets)
+    items = column.values.slice(bounds[0], bounds[-1] - bounds[0])
+    bounds = (bounds - bounds[0]).tolist()
+    start, end, number = (pc.struct_field(items, n).to_numpy() for n in ("start", "end", "ann_id"))
+    types = pc.struct_field(items, "type").to_pylist()
+    features = pc.struct_field(items, "features").to_pylist() if with_features else None
     for i, text in enumerate(batch.column("text").to_pylist()):
         rows = slice(bounds[i], bounds[i + 1])
         order = bounds[i] + np.lexsort((number[rows], -end[rows], start[rows]))

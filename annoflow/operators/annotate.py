@@ -84,8 +84,9 @@ def annotate(docs: DataFrame, application: Callable[[], Any]) -> DataFrame:
                     app = application()
                     _hook(app, "setup")
                 call = app if not hasattr(app, "annotate") else app.annotate
-                rows = [_annotate_one(call, row) for row in batch.to_pylist()]
-                yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
+                for part in small_parts(batch):
+                    rows = [_annotate_one(call, row) for row in part.to_pylist()]
+                    yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
         except GeneratorExit:
             _hook(app, "abort", None)
             raise
@@ -97,6 +98,17 @@ def annotate(docs: DataFrame, application: Callable[[], Any]) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def small_parts(batch: pa.RecordBatch, characters: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows with about ``characters`` of text each, so that
+    what annotators build beside the text stays small however long texts are."""
+    size = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(size, dtype=np.int64) // characters
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(run)) + 1, [batch.num_rows]])
+    for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        if end > begin:
+            yield batch.slice(begin, end - begin)
+
+
 def _hook(app: Any, name: str, *args: Any) -> None:
     hook = getattr(app, name, None)
     if hook is not None:
@@ -162,7 +174,8 @@ def annotate_batches(docs: DataFrame, *annotators: BatchAnnotator) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _annotate_batch(batch, names, annotators)
+            for part in small_parts(batch):
+                yield from _annotate_batch(part, names, annotators)
 
     return docs.mapInArrow(run, schema)
 

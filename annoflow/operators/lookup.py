@@ -8,15 +8,21 @@ from pyspark.sql import DataFrame, functions as F
 def lookup(ids: DataFrame, docs: DataFrame) -> DataFrame:
     """The document of every ID; an ID without one carries a ``load_error``.
 
-    Attributes come from the ID. Every ID row gives at least one row. The join
-    strategy is left to the optimizer: a small ID list is broadcast to the scan,
-    otherwise both sides are shuffled by ID and AQE splits a hot ID.
+    Attributes come from the ID. An inner join finds the documents, so a small
+    ID list is broadcast to the scan and, where both sides are large, AQE can
+    split a hot ID on either; the IDs it leaves are found by an anti join over
+    ID columns alone.
     """
-    found = docs.drop("id_attrs").withColumn("_found", F.lit(True))
-    missing = F.concat(F.lit("Unknown document "), F.col("doc_id"))
-    return (
-        ids.select("doc_id", "id_attrs")
-        .join(found, "doc_id", "left")
-        .withColumn("load_error", F.coalesce("load_error", F.when(F.col("_found").isNull(), missing)))
-        .select(docs.columns)
+    wanted = ids.select("doc_id", "id_attrs")
+    found = docs.drop("id_attrs").join(wanted, "doc_id").select(docs.columns)
+    missing = wanted.join(docs.select("doc_id").distinct(), "doc_id", "left_anti")
+    error = F.concat(F.lit("Unknown document "), F.col("doc_id"))
+    unknown = missing.select(
+        *(
+            F.col(f.name) if f.name in ("doc_id", "id_attrs")
+            else error.alias(f.name) if f.name == "load_error"
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in docs.schema.fields
+        )
     )
+    return found.union(unknown)

@@ -5,6 +5,9 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,12 +37,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     executor is lost.
     """
     path = scratch_path(df.sparkSession, name)
+    held = _TEMPORARY.get()
+    if held is not None:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table through the Hadoop file system that holds it."""
-    jvm = spark._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+_TEMPORARY: ContextVar[list[str] | None] = ContextVar("temporary tables", default=None)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what ``written`` writes in between, through the Hadoop
+    file system that holds it."""
+    held: list[str] = []
+    token = _TEMPORARY.set(held)
+    try:
+        yield
+    finally:
+        _TEMPORARY.reset(token)
+        for path in held:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
