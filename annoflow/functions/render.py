@@ -9,7 +9,7 @@ in ``mapInArrow``.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -68,15 +68,36 @@ def _json_string(value: Column) -> Column:
     ).otherwise(F.concat(F.lit('"'), value, F.lit('"')))
 
 
-def _json_members(features: Column, *reserved: str) -> Column:
-    """The features as JSON object members, each led by a comma."""
+# A JSON number, true or false.
+_JSON_SCALAR = r"^(?:-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false)$"
+
+
+def _json_members(features: Column, reserved: Sequence[str], plain: Sequence[str]) -> Column:
+    """The features as JSON object members, each led by a comma.
+
+    Values are strings, but those of ``plain`` features go unquoted where they
+    read as numbers or truth values.
+    """
     kept = F.map_filter(features, lambda key, _: ~key.isin(*reserved))
-    inner = F.btrim(F.to_json(kept, {"ignoreNullFields": "false"}), F.lit("{}"))
-    led = F.regexp_replace(inner, "^(?=.)", ",")
+    if plain:
+        one = lambda e: F.concat(
+            F.lit(","),
+            _json_string(e["key"]),
+            F.lit(":"),
+            F.when(e["value"].isNull(), F.lit("null"))
+            .when(e["key"].isin(*plain) & e["value"].rlike(_JSON_SCALAR), e["value"])
+            .otherwise(_json_string(e["value"])),
+        )
+        led = F.array_join(F.transform(F.map_entries(kept), one), "")
+    else:
+        inner = F.btrim(F.to_json(kept, {"ignoreNullFields": "false"}), F.lit("{}"))
+        led = F.regexp_replace(inner, "^(?=.)", ",")
     return F.when(F.cardinality(features) > 0, led).otherwise(F.lit(""))
 
 
-def json_entity(annotation: Column, type_property: str | None = None) -> Column:
+def json_entity(
+    annotation: Column, type_property: str | None = None, plain_features: Sequence[str] = ()
+) -> Column:
     reserved = ["indices"]
     typed: list[Column] = []
     if type_property:
@@ -89,7 +110,7 @@ def json_entity(annotation: Column, type_property: str | None = None) -> Column:
         F.lit(","),
         annotation["end"].cast("string"),
         F.lit("]"),
-        _json_members(annotation["features"], *reserved),
+        _json_members(annotation["features"], reserved, plain_features),
         *typed,
         F.lit("}"),
     )
@@ -100,16 +121,18 @@ def with_json(
     *,
     by: str = "type",
     type_property: str | None = None,
+    plain_features: Sequence[str] = (),
     offsets: str = "utf16",
 ) -> DataFrame:
     """Add ``rendered``: ``text``, ``entities`` by label, and window features.
 
     Labels are in order and so are the entities of each. If the row has a
     ``window`` column, text and annotations must already be cut to it; its
-    features become top-level members beside ``text`` and ``entities``.
+    features become top-level members beside ``text`` and ``entities``. Values of
+    ``plain_features`` that read as numbers or truth values go unquoted.
     """
     counted = utf16_annotations(annotated) if offsets == "utf16" else annotated
-    grouped = with_groups(counted, by, lambda a: json_entity(a, type_property))
+    grouped = with_groups(counted, by, lambda a: json_entity(a, type_property, plain_features))
     groups = F.transform(
         "groups",
         lambda g: F.concat(
@@ -120,7 +143,7 @@ def with_json(
         ),
     )
     extra = (
-        _json_members(F.col("window.features"), "text", "entities")
+        _json_members(F.col("window.features"), ("text", "entities"), plain_features)
         if "window" in annotated.columns
         else F.lit("")
     )

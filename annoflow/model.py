@@ -87,8 +87,11 @@ class Output:
     """One output of a run: where, in which form, and of which documents.
 
     ``form`` is one of ``json``, ``standoff``, ``xml`` (inline), ``xces``,
-    ``text``, ``parquet``, ``push`` or ``none``. ``layout`` is ``files`` (one
-    file per document) or ``chunks`` (many JSON documents per file).
+    ``text``, ``parquet``, ``push``, ``custom`` or ``none``. ``layout`` is
+    ``files`` (one file per document) or ``chunks`` (many JSON documents per
+    file). A custom output is ``options["write"]``: a function of the annotated
+    rows (with ``row_id``), this output and a key for the write, that writes them
+    and returns the rows it failed for (``row_id``, ``error``) or None.
     """
 
     form: str

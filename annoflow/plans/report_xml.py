@@ -7,6 +7,7 @@ from pyspark.sql.column import Column
 
 from annoflow.functions.render import xml_attribute, xml_text
 from annoflow.model import FAIL, SUCCESS
+from annoflow.plans import ledger as ledgers
 
 _OPEN = "<processResult "
 _CLOSE = "</processResult>"
@@ -123,6 +124,11 @@ def import_xml(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def import_report(spark: SparkSession, report: str, ledger: str, run_id: str) -> None:
+    """Take an XML report into a ledger, so that a job resumes from it."""
+    ledgers.write_results(import_xml(spark, report).withColumn("run_id", F.lit(run_id)), ledger)
+
+
 def _unescaped(value: Column) -> Column:
     plain = value
     for entity, char in (

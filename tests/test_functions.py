@@ -166,6 +166,14 @@ def test_json(make_annotated):
     }
 
 
+def test_json_plain_features(make_annotated):
+    anns = [("", "T", 0, 1, {"n": "1.5e3", "t": "true", "q": "12", "x": "01", "z": None})]
+    row = render.with_json(make_annotated({"a": ("x", anns)}), plain_features=["n", "t", "x", "z"]).first()
+    assert json.loads(row["rendered"])["entities"]["T"] == [
+        {"indices": [0, 1], "n": 1500.0, "t": True, "q": "12", "x": "01", "z": None}
+    ]
+
+
 def test_json_without_annotations(make_annotated):
     row = render.with_json(make_annotated({"a": ("}", [])}), by="set").first()
     assert json.loads(row["rendered"]) == {"text": "}", "entities": {}}
