@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import codecs
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.column import Column
 
@@ -36,20 +38,25 @@ def ids_from_lines(
     spark: SparkSession, path: str, prefix: str | None = None, encoding: str = "UTF-8"
 ) -> DataFrame:
     """One ID per line of a text file, trimmed. A blank line is an empty ID."""
-    if encoding.upper().replace("-", "") == "UTF8":
-        lines = spark.read.text(path)
-    else:
-        lines = (
-            spark.read.option("encoding", encoding)
-            .option("sep", "\0")
-            .option("quote", "")
-            .option("mode", "PERMISSIVE")
-            .schema("value string")
-            .csv(path)
-        )
+    lines = spark.read.text(path)
+    if "\n".encode(encoding) != b"\n":
+        raise ValueError(f"lines cannot be found in {encoding} text; convert it first")
+    if codecs.lookup(encoding).name != "utf-8":
+        lines = _decoded_lines(lines, encoding)
     return list_ids(lines, "value", prefix)
 
 
+def _decoded_lines(lines: DataFrame, encoding: str) -> DataFrame:
+    """Lines read as they are in the file, decoded from their bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [v.decode(encoding, "replace") for v in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["value"])
+
+    return lines.select(F.col("value").cast("binary")).mapInArrow(run, "value string")
+
+
 def list_ids(lines: DataFrame, column: str, prefix: str | None = None) -> DataFrame:
     """IDs from a column of lines: outer whitespace off, prefix on."""
     trimmed = F.regexp_replace(F.col(column), r"^[\x00-\x20]+|[\x00-\x20]+$", "")

@@ -86,10 +86,12 @@ def test_read_compressed_files(spark, folder):
 
 def test_list_of_ids(spark, tmp_path):
     (tmp_path / "ids").write_text("  a \n\n\tb/é\n", encoding="utf-8")
-    (tmp_path / "latin").write_bytes("xé, \"y\"\n".encode("latin-1"))
+    (tmp_path / "latin").write_bytes("xé, \"y\"\n\n€\n".encode("cp1252"))
     names = lambda *a: sorted(r["doc_id"] for r in listing.ids_from_lines(spark, *a).collect())
     assert names(str(tmp_path / "ids"), "p/") == ["p/", "p/a", "p/b/é"]
-    assert names(str(tmp_path / "latin"), None, "ISO-8859-1") == ['xé, "y"']
+    assert names(str(tmp_path / "latin"), None, "windows-1252") == ["", 'xé, "y"', "€"]
+    with pytest.raises(ValueError):
+        names(str(tmp_path / "ids"), None, "UTF-16")
 
 
 def test_lookup_keeps_every_id(spark):
@@ -229,6 +231,27 @@ def test_record_settings_are_checked(spark, crawl):
     assert "No archive" in row["load_error"]
 
 
+@pytest.mark.parametrize(
+    "http, archive, want",
+    [
+        ("Sun, 06 Nov 1994 08:49:37 GMT", None, "1994-11-06T08:49:37Z"),
+        ("Sunday, 06-Nov-24 08:49:37 GMT", None, "2024-11-06T08:49:37Z"),
+        ("Sun Nov  6 08:49:37 1994", None, "1994-11-06T08:49:37Z"),
+        ("yesterday", "20080430204825", "2008-04-30T20:48:25Z"),
+        (None, "20080430204825", "2008-04-30T20:48:25Z"),
+        (None, "2008", None),
+    ],
+)
+def test_retrieval_dates(spark, http, archive, want):
+    df = spark.createDataFrame([(archive, [("DATE", http)])], "date string, http_headers array<struct<name:string,value:string>>")
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert df.select(archives._in_utc(archives.retrieved_at())).first()[0] == want
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_arc(spark, tmp_path):
     def record(url, mime, content):
         return f"{url} 1.2.3.4 20080430204825 {mime} {len(content)}\n".encode() + content + b"\n"
