@@ -14,6 +14,7 @@ is that of the scan; ``balanced`` evens it out where sources are lumpy.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from operator import index
 from time import perf_counter
 from typing import Any
 
@@ -124,14 +125,15 @@ def _annotate_one(call: Callable[[dict], Iterable[dict]], row: dict) -> dict:
     began = perf_counter()
     try:
         found = [_annotation(a, i) for i, a in enumerate(call(doc) or ())]
+        features = [(str(k), _as_text(v)) for k, v in doc["features"].items()]
+        text = _as_text(doc["text"])
     except MemoryError:
         raise
     except Exception as error:
         row["error"] = message_of(error)
         return row
     row["annotations"] = found
-    row["features"] = [(k, _as_text(v)) for k, v in doc["features"].items()]
-    row["text"] = doc["text"]
+    row["features"], row["text"] = features, text
     row["execution_ms"] = int((perf_counter() - began) * 1000)
     return row
 
@@ -139,12 +141,12 @@ def _annotate_one(call: Callable[[dict], Iterable[dict]], row: dict) -> dict:
 def _annotation(given: dict, number: int) -> dict:
     features = given.get("features") or {}
     return {
-        "set_name": given.get("set_name") or "",
-        "ann_id": given.get("ann_id", number),
-        "type": given["type"],
-        "start": given["start"],
-        "end": given["end"],
-        "features": [(k, _as_text(v)) for k, v in features.items()],
+        "set_name": str(given.get("set_name") or ""),
+        "ann_id": index(given.get("ann_id", number)),
+        "type": str(given["type"]),
+        "start": index(given["start"]),
+        "end": index(given["end"]),
+        "features": [(str(k), _as_text(v)) for k, v in features.items()],
     }
 
 

@@ -694,7 +694,7 @@ def chunk_assignment(spark, sf_dir):
        WHERE json_extract_string(props, '$.k') IS NOT NULL"""
 )
 def json_pointer_id(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select(
+    events = balanced(table(spark, sf_dir, "events").select("event_id", "props")).select(
         "event_id", id_rules.id_by_pointer(F.col("props"), "/k").alias("doc_id")
     )
     return events.filter(id_rules.is_document(F.col("doc_id")))
@@ -723,7 +723,7 @@ def json_template_id(spark, sf_dir):
             F.lit('},"id":'), n, F.lit("}"),
         ).alias("json"),
     )
-    found = objects.select(
+    found = balanced(objects).select(
         "event_id",
         id_rules.id_by_template(
             F.col("json"), "c{/channel/id}_{/id}|g{/group/id}_{/id}"

@@ -227,4 +227,15 @@ def write_atomically(path: str, data: bytes, attempt: str) -> None:
     temporary = posixpath.join(posixpath.dirname(place), f".{posixpath.basename(place)}.{attempt}")
     with system.open_output_stream(temporary) as out:
         out.write(data)
-    system.move(temporary, place)
+    move_over(system, temporary, place)
+
+
+def move_over(system: pafs.FileSystem, source: str, target: str) -> None:
+    """Rename onto a path that may exist; some file systems refuse that."""
+    try:
+        system.move(source, target)
+    except OSError:
+        if system.get_file_info(target).type != pafs.FileType.File:
+            raise
+        system.delete_file(target)
+        system.move(source, target)

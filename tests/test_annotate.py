@@ -48,12 +48,16 @@ def test_per_document_failure_is_isolated(docs):
                 raise ValueError("bad document")
             if doc["doc_id"] == "c":
                 raise RuntimeError
+            if doc["doc_id"] == "e":
+                return [{"type": "T", "start": "zero", "end": 1}]
             doc["features"]["seen"] = True
             return [{"type": "T", "start": 0, "end": 1, "features": {"n": 3}}]
 
         return run
 
+    docs = docs.union(docs.filter("doc_id = 'b'").withColumn("doc_id", F.lit("e")))
     found = by_id(annotate(docs, application), "error", "annotations", "features")
+    assert "integer" in found["e"][0] and found["e"][1] == []
     assert found["a"][0] == "bad document"
     assert found["c"][0] == "Internal error"
     assert found["d"][0] == "no content"
