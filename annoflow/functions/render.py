@@ -9,6 +9,7 @@ in ``mapInArrow``.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -168,26 +169,30 @@ def xml_text(value: Column) -> Column:
     return clean
 
 
+# Attribute values with none of these, most of them, need no escaping.
+_XML_SPECIAL = r'[&<>"\x00-\x1F\uFFFE\uFFFF]'
+
+
 def xml_attribute(value: Column) -> Column:
     clean = xml_text(value)
     for plain, entity in (('"', "&quot;"), ("\n", "&#10;"), ("\r", "&#13;"), ("\t", "&#9;")):
         clean = F.replace(clean, F.lit(plain), F.lit(entity))
-    return clean
+    return F.when(value.rlike(_XML_SPECIAL), clean).otherwise(value)
 
 
-def _features_xml(features: Column, tag: str) -> Column:
-    entries = F.array_sort(F.map_entries(features))
+def _features_xml(entries: Column, tag: str) -> Column:
+    """Feature entries (key, value) as elements in key order."""
     each = F.transform(
-        entries,
+        F.array_sort(entries),
         lambda e: F.concat(
             F.lit(f'<{tag} name="'),
             xml_attribute(e["key"]),
             F.lit('" value="'),
-            xml_attribute(F.coalesce(e["value"], F.lit(""))),
+            F.coalesce(xml_attribute(e["value"]), F.lit("")),
             F.lit('"/>'),
         ),
     )
-    return F.array_join(each, "")
+    return F.when(F.size(entries) > 0, F.array_join(each, "")).otherwise(F.lit(""))
 
 
 def _ordered(annotations: Column) -> Column:
@@ -222,14 +227,14 @@ def with_standoff(annotated: DataFrame, *, offsets: str = "utf16") -> DataFrame:
         F.lit('" end="'),
         a["end"].cast("string"),
         F.lit('">'),
-        _features_xml(F.map_from_entries(a["features"]), "feature"),
+        _features_xml(a["features"], "feature"),
         F.lit("</annotation>\n"),
     )
     rendered = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<document id="'),
         xml_attribute(F.col("doc_id")),
         F.lit('">\n<features>'),
-        _features_xml(F.col("features"), "feature"),
+        _features_xml(F.map_entries("features"), "feature"),
         F.lit("</features>\n<text>"),
         F.replace(xml_text(F.col("text")), F.lit("\r"), F.lit("&#13;")),
         F.lit("</text>\n"),
@@ -262,7 +267,7 @@ def with_xces(annotated: DataFrame, *, offsets: str = "utf16") -> DataFrame:
         F.lit('" to="'),
         a["end"].cast("string"),
         F.lit('">'),
-        _features_xml(F.map_from_entries(a["features"]), "feat"),
+        _features_xml(a["features"], "feat"),
         F.lit("</struct>\n"),
     )
     rendered = F.concat(
@@ -285,20 +290,21 @@ def with_inline(annotated: DataFrame, *, include_features: bool = False) -> Data
 
     Tags must nest. Annotations are taken by start, longer first, then number;
     one that would end after an enclosing one is left out and counted in
-    ``crossing``.
+    ``crossing``. ``text`` and ``annotations`` do not come back from Python.
     """
+    used = ["text", "annotations"]
+    kept = [f for f in annotated.schema.fields if f.name not in used]
     schema = T.StructType(
-        list(annotated.schema.fields)
-        + [T.StructField("rendered", T.StringType()), T.StructField("crossing", T.LongType())]
+        kept + [T.StructField("rendered", T.StringType()), T.StructField("crossing", T.LongType())]
     )
-    names = annotated.columns
+    names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in small_parts(whole)):
             done = list(_inline_batch(batch, include_features))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns,
+                    *(batch.column(n) for n in names),
                     pa.array([d[0] for d in done], pa.string()),
                     pa.array([d[1] for d in done], pa.int64()),
                 ],
@@ -308,6 +314,7 @@ def with_inline(annotated: DataFrame, *, include_features: bool = False) -> Data
     return annotated.mapInArrow(run, schema)
 
 
+_SPECIAL = re.compile("[&<>\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")
 _XML_SPACES = {c: " " for c in [*range(9), 11, 12, *range(14, 32), 0xFFFE, 0xFFFF]}
 _XML_TEXT = {ord("&"): "&amp;", ord("<"): "&lt;", ord(">"): "&gt;", **_XML_SPACES}
 _XML_ATTRIBUTE = {ord('"'): "&quot;", 10: "&#10;", 13: "&#13;", 9: "&#9;", **_XML_TEXT}
@@ -332,30 +339,38 @@ def _inline(text: str, spans, types: list[str], features: list | None) -> tuple[
     out = ["<document>"]
     open_tags: list[tuple[int, str]] = []
     at = crossing = 0
+    special = _SPECIAL.search(text) is not None
 
-    def close_until(offset: int) -> None:
+    def text_until(end: int) -> None:
         nonlocal at
+        if end > at:
+            piece = text[at:end]
+            out.append(piece.translate(_XML_TEXT) if special else piece)
+            at = end
+
+    def close_until(offset: int) -> None:
         while open_tags and open_tags[-1][0] <= offset:
             end, name = open_tags.pop()
-            out.append(text[at:end].translate(_XML_TEXT))
+            text_until(end)
             out.append(f"</{name}>")
-            at = end
 
     for start, end, row in spans:
         close_until(start)
         if open_tags and open_tags[-1][0] < end:
             crossing += 1
             continue
-        out.append(text[at:start].translate(_XML_TEXT))
-        at = start
-        attributes = "".join(
-            f' {k}="{(v or "").translate(_XML_ATTRIBUTE)}"'
-            for k, v in sorted((features[row] or ()) if features else ())
-        )
-        out.append(f"<{types[row]}{attributes}>")
-        open_tags.append((end, types[row]))
+        text_until(start)
+        name = types[row]
+        if features and features[row]:
+            attributes = "".join(
+                f' {k}="{(v or "").translate(_XML_ATTRIBUTE)}"' for k, v in sorted(features[row])
+            )
+            out.append(f"<{name}{attributes}>")
+        else:
+            out.append(f"<{name}>")
+        open_tags.append((end, name))
     close_until(len(text))
-    out.append(text[at:].translate(_XML_TEXT))
+    text_until(len(text))
     out.append("</document>")
     return "".join(out), crossing
 

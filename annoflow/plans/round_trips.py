@@ -6,12 +6,9 @@ import posixpath
 
 from pyspark.sql import DataFrame, functions as F
 
-from annoflow.functions import naming
-from annoflow.model import JobSpec, Output, Selection, as_documents, empty_map
+from annoflow.model import JobSpec, Output, Selection
 from annoflow.operators import enumerate as listing
 from annoflow.operators.annotate import lines, tokens
-from annoflow.operators.group import annotation_counts
-from annoflow.operators.select import explode_annotations
 from annoflow.plans import derived, ledger as ledgers, report_xml
 from annoflow.plans.catalog import (
     ANN,
@@ -22,7 +19,7 @@ from annoflow.plans.catalog import (
     table,
 )
 from annoflow.plans.job import run
-from annoflow.session import scratch_path, written
+from annoflow.session import scratch_path
 from annoflow.sinks.chunks import write_chunks
 from annoflow.sinks.named_files import write_named_files
 from annoflow.sinks.push import push

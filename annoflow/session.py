@@ -12,17 +12,23 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests, one machine) is a local folder made, and remembered for the session.
+    The cluster names it in ``spark.checkpoint.dir``, or the application with
+    ``setCheckpointDir``. Only where neither is set (tests, one machine) is a
+    local folder made, one per application.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="annoflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="annoflow-")
+    return _LOCAL_ROOTS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
