@@ -36,6 +36,30 @@ DEFAULT_SET_LABEL = "default"
 # --- fixed values: XCES vocabulary ----------------------------------------
 XCES_VERSION = "1.0"
 XCES_NAMESPACE = "http://www.xces.org/schema/2003"
+XCES_ROOT = "cesAna"
+XCES_ANNOTATION = "struct"
+XCES_FEATURE = "feat"
+
+# --- fixed values: elements of XML reports, with the columns they hold ----
+REPORT_ENTRY = "processResult"
+REPORT_ENTRY_NUMBERS = (
+    ("fileSize", "file_size"),
+    ("documentLength", "document_length"),
+    ("executionTime", "execution_ms"),
+)
+REPORT_STATISTICS = "statistics"
+REPORT_COUNT = "annotationCount"
+REPORT_ERROR = "errorDescription"
+REPORT_SUMMARY = "batchReport"
+REPORT_SUMMARY_FIELDS = (
+    ("finalBatchState", "final_state"),
+    ("totalDocuments", "total_documents"),
+    ("successfullyProcessed", "successfully_processed"),
+    ("withError", "with_error"),
+    ("totalBytes", "total_bytes"),
+    ("totalCharacters", "total_characters"),
+    ("executionTime", "execution_ms"),
+)
 
 # --- fixed values: paths left out of directory listings by default --------
 # (the documented default excludes of Apache Ant file sets)

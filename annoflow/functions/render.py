@@ -18,7 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.column import Column
 
-from annoflow.fixed_values import XCES_NAMESPACE, XCES_VERSION
+from annoflow.fixed_values import (
+    XCES_ANNOTATION,
+    XCES_FEATURE,
+    XCES_NAMESPACE,
+    XCES_ROOT,
+    XCES_VERSION,
+)
 from annoflow.functions.values import bind
 from annoflow.operators.annotate import small_parts
 from annoflow.operators.group import with_groups
@@ -260,23 +266,23 @@ def with_xces(annotated: DataFrame, *, offsets: str = "utf16") -> DataFrame:
         )
     )
     one = lambda a: F.concat(
-        F.lit('<struct type="'),
+        F.lit(f'<{XCES_ANNOTATION} type="'),
         xml_attribute(a["type"]),
         F.lit('" from="'),
         a["start"].cast("string"),
         F.lit('" to="'),
         a["end"].cast("string"),
         F.lit('">'),
-        _features_xml(a["features"], "feat"),
-        F.lit("</struct>\n"),
+        _features_xml(a["features"], XCES_FEATURE),
+        F.lit(f"</{XCES_ANNOTATION}>\n"),
     )
     rendered = F.concat(
         F.lit(
             '<?xml version="1.0" encoding="UTF-8"?>\n'
-            f'<cesAna version="{XCES_VERSION}" xmlns="{XCES_NAMESPACE}">\n'
+            f'<{XCES_ROOT} version="{XCES_VERSION}" xmlns="{XCES_NAMESPACE}">\n'
         ),
         F.array_join(F.transform(in_order, one), ""),
-        F.lit("</cesAna>\n"),
+        F.lit(f"</{XCES_ROOT}>\n"),
     )
     return counted.withColumn("rendered", rendered)
 

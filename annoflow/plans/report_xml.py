@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.column import Column
 
+from annoflow.fixed_values import (
+    REPORT_COUNT,
+    REPORT_ENTRY,
+    REPORT_ENTRY_NUMBERS,
+    REPORT_ERROR,
+    REPORT_STATISTICS,
+    REPORT_SUMMARY,
+    REPORT_SUMMARY_FIELDS,
+)
 from annoflow.functions.render import xml_attribute, xml_text
 from annoflow.model import FAIL, SUCCESS
 from annoflow.plans import ledger as ledgers
 
-_OPEN = "<processResult "
-_CLOSE = "</processResult>"
+_OPEN = f"<{REPORT_ENTRY} "
+_CLOSE = f"</{REPORT_ENTRY}>"
 
 
 def _element(name: str, value: Column) -> Column:
@@ -28,7 +37,7 @@ def result_xml() -> Column:
         F.transform(
             F.array_sort(F.map_entries("annotation_counts")),
             lambda e: F.concat(
-                F.lit('<annotationCount type="'),
+                F.lit(f'<{REPORT_COUNT} type="'),
                 xml_attribute(e["key"]),
                 F.lit('" count="'),
                 e["value"].cast("string"),
@@ -38,19 +47,21 @@ def result_xml() -> Column:
         "",
     )
     return F.concat(
-        F.lit('<processResult id="'),
+        F.lit(f'{_OPEN}id="'),
         xml_attribute(F.col("doc_id")),
         F.lit('" returnCode="'),
         F.col("return_code"),
         F.lit('">'),
-        _if_known("fileSize", F.col("file_size")),
-        _if_known("documentLength", F.col("document_length")),
-        _if_known("executionTime", F.col("execution_ms")),
+        *(_if_known(element, F.col(column)) for element, column in REPORT_ENTRY_NUMBERS),
         F.when(
             F.col("return_code") == SUCCESS,
-            F.concat(F.lit("<statistics>"), F.coalesce(counts, F.lit("")), F.lit("</statistics>")),
+            F.concat(
+                F.lit(f"<{REPORT_STATISTICS}>"),
+                F.coalesce(counts, F.lit("")),
+                F.lit(f"</{REPORT_STATISTICS}>"),
+            ),
         ).otherwise(
-            F.when(F.col("error").isNotNull(), _element("errorDescription", F.col("error"))).otherwise("")
+            F.when(F.col("error").isNotNull(), _element(REPORT_ERROR, F.col("error"))).otherwise("")
         ),
         F.lit(_CLOSE),
     )
@@ -58,17 +69,10 @@ def result_xml() -> Column:
 
 def summary_xml() -> Column:
     """A summary row as the closing element of a report."""
-    fields = (
-        ("finalBatchState", "final_state"),
-        ("totalDocuments", "total_documents"),
-        ("successfullyProcessed", "successfully_processed"),
-        ("withError", "with_error"),
-        ("totalBytes", "total_bytes"),
-        ("totalCharacters", "total_characters"),
-        ("executionTime", "execution_ms"),
-    )
     return F.concat(
-        F.lit("<batchReport>"), *(_element(tag, F.col(c)) for tag, c in fields), F.lit("</batchReport>")
+        F.lit(f"<{REPORT_SUMMARY}>"),
+        *(_element(element, F.col(column)) for element, column in REPORT_SUMMARY_FIELDS),
+        F.lit(f"</{REPORT_SUMMARY}>"),
     )
 
 
@@ -98,10 +102,10 @@ def import_xml(spark: SparkSession, path: str) -> DataFrame:
         )
 
     counted = F.regexp_extract_all(
-        body, F.lit(r'<annotationCount type="([^"]*)" count="(?:\d+)"'), F.lit(1)
+        body, F.lit(rf'<{REPORT_COUNT} type="([^"]*)" count="(?:\d+)"'), F.lit(1)
     )
     counts = F.regexp_extract_all(
-        body, F.lit(r'<annotationCount type="(?:[^"]*)" count="(\d+)"'), F.lit(1)
+        body, F.lit(rf'<{REPORT_COUNT} type="(?:[^"]*)" count="(\d+)"'), F.lit(1)
     )
     entries = spark.read.text(path, lineSep=_OPEN)
     return (
@@ -109,16 +113,14 @@ def import_xml(spark: SparkSession, path: str) -> DataFrame:
         .select(
             attribute("id").alias("doc_id"),
             attribute("returnCode").alias("return_code"),
-            text_of("fileSize").cast("long").alias("file_size"),
-            text_of("documentLength").cast("long").alias("document_length"),
-            text_of("executionTime").cast("long").alias("execution_ms"),
+            *(text_of(element).cast("long").alias(column) for element, column in REPORT_ENTRY_NUMBERS),
             F.when(
                 F.size(counted) > 0,
                 F.map_from_arrays(
                     F.transform(counted, _unescaped), F.transform(counts, lambda c: c.cast("long"))
                 ),
             ).alias("annotation_counts"),
-            text_of("errorDescription").alias("error"),
+            text_of(REPORT_ERROR).alias("error"),
         )
         .filter(F.col("return_code").isin(SUCCESS, FAIL))
     )
