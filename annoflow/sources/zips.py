@@ -11,6 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from annoflow.model import DOCUMENT
 from annoflow.operators.enumerate import in_order, matching_ids, with_prefix
+from annoflow.operators.spread import spread
 from annoflow.sources import storage
 from annoflow.sources.files import _load_one
 
@@ -99,9 +100,12 @@ def read_zip_entries(
         for z in held.values():
             z.close()
 
-    located = ids.select("doc_id", "id_attrs", F.col("id_attrs")[ZIP_ATTR].alias("_zip"))
-    spread = located.repartitionByRange("_zip", "doc_id").sortWithinPartitions("_zip", "doc_id")
-    return spread.drop("_zip").mapInArrow(run, DOCUMENT)
+    size = F.col("file_size") if "file_size" in ids.columns else F.lit(None).cast("long")
+    located = ids.select(
+        "doc_id", "id_attrs", F.col("id_attrs")[ZIP_ATTR].alias("_zip"), size.alias("_size")
+    )
+    ordered = spread(located, "_zip", "doc_id", size=F.col("_size"))
+    return ordered.select("doc_id", "id_attrs").mapInArrow(run, DOCUMENT)
 
 
 def _opened(path: str, file_name_encoding: str | None) -> zipfile.ZipFile:

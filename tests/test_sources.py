@@ -94,6 +94,21 @@ def test_list_of_ids(spark, tmp_path):
         names(str(tmp_path / "ids"), None, "UTF-16")
 
 
+def test_loading_is_spread_by_the_work(spark, monkeypatch):
+    from annoflow.operators import spread as spreading
+
+    monkeypatch.setattr(spreading, "TASK_BYTES", 1000)
+    ids = spark.range(100, numPartitions=1).select(
+        F.col("id").cast("string").alias("doc_id"), F.lit("hot").alias("zip"), F.lit(500).alias("n")
+    )
+    by_size = spreading.spread(ids, "zip", "doc_id", size=F.col("n"))
+    assert by_size.rdd.getNumPartitions() == 50
+    held = [len(p) for p in by_size.rdd.glom().collect()]
+    assert sum(held) == 100 and max(held) < 30
+    assert spreading.spread(ids).rdd.getNumPartitions() == 8
+    assert spreading.spread(ids.limit(0), "zip").count() == 0
+
+
 def test_lookup_keeps_every_id(spark):
     docs = as_documents(spark.createDataFrame([("a", "A")], "i string, t string"), "i", "t")
     got = lookup(ids_of(spark, "a", "a", "z", k="v"), docs).collect()
