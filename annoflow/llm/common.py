@@ -38,3 +38,24 @@ def map_batches(
                     yield out
 
     return df.mapInArrow(run, schema)
+
+
+#: Rows up to which a table of short keys is sent to every task (16 MB of digests).
+BROADCAST_KEYS = 1_000_000
+
+
+def content_key(doc_id, text) -> F.Column:
+    """Digest of a row's ID and text: names a document where IDs may be null or repeat."""
+    name = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("\x00"), text)
+    return F.unhex(F.md5(name.cast("binary")))
+
+
+def keep_matching(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose ``on`` is among the distinct ``keys``.
+
+    A set counted to be small is broadcast; a larger one is joined by a shuffle.
+    """
+    keys = keys.select(on).distinct()
+    if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return rows.join(keys, on, "left_semi")
