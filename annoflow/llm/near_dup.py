@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from annoflow.llm.common import content_key, id_and_text, keep_matching, map_batches
 from annoflow.llm.components import components
+from annoflow.llm.hashing import BASE, LAST, STEP, mix, prefix_sums, run_hashes
 from annoflow.session import written
 
 #: Words of a shingle, sketches of a text, shingles of a sketch, and of a further one.
@@ -26,31 +27,6 @@ SHINGLE, SKETCHES, PICKS, FURTHER, FURTHER_PICKS = 5, 40, 2, 2, 3
 #: Least share of words that alignment leaves as they are.
 SIMILARITY = 0.8
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_STEP = np.uint64(0xBF58476D1CE4E5B9)
-_LAST = np.uint64(0x94D049BB133111EB)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """Scatter 64-bit numbers (splitmix)."""
-    x = (x ^ (x >> np.uint64(30))) * _STEP
-    x = (x ^ (x >> np.uint64(27))) * _LAST
-    return x ^ (x >> np.uint64(31))
-
-
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2^64."""
-    if len(_POWERS[0]) < n:
-        size = 1 << int(n).bit_length()
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for i, factor in enumerate((_BASE, inverse)):
-            _POWERS[i] = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, factor)]), dtype=np.uint64)
-    return _POWERS[0], _POWERS[1]
-
-
 def word_hashes(text: str) -> np.ndarray:
     """A hash of each word, all words at once; blanks and control characters part words."""
     data = np.frombuffer(text.encode(), np.uint8)
@@ -59,9 +35,7 @@ def word_hashes(text: str) -> np.ndarray:
     inside = np.concatenate([[False], data > 32, [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    powers, inverses = _powers(len(data) + 1)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], dtype=np.uint64)])
-    return mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
+    return run_hashes(prefix_sums(data), starts, ends)
 
 
 def shingle_hashes(words: np.ndarray) -> np.ndarray:
@@ -71,7 +45,7 @@ def shingle_hashes(words: np.ndarray) -> np.ndarray:
         return np.empty(0, np.uint64)
     out = np.full(len(words) - width + 1, np.uint64(width))
     for i in range(width):
-        out = mix(out * _STEP + words[i : len(words) - width + 1 + i])
+        out = mix(out * STEP + words[i : len(words) - width + 1 + i])
     return out
 
 
@@ -82,7 +56,7 @@ def labelled(shingles: np.ndarray) -> np.ndarray:
     heads = np.concatenate([[True], ordered[1:] != ordered[:-1]])
     nth = np.arange(len(ordered)) - np.maximum.accumulate(np.where(heads, np.arange(len(ordered)), 0))
     out = np.empty_like(shingles)
-    out[order] = mix(ordered + nth.astype(np.uint64) * _BASE)
+    out[order] = mix(ordered + nth.astype(np.uint64) * BASE)
     return out
 
 
@@ -107,12 +81,12 @@ def sketches(shingles: np.ndarray, marks: np.ndarray, seeds: np.ndarray, picks:
         places.sort(1)
         found = part.copy()
         for p in range(picks):
-            found = mix(found * _STEP + shingles[places[:, p]])
+            found = mix(found * STEP + shingles[places[:, p]])
         out[at : at + step] = found
     return out
 
 
-SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * _BASE)
+SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * BASE)
 
 
 # --- alignment ----------------------------------------------------------------
@@ -224,7 +198,7 @@ def _finer(batch: pa.RecordBatch) -> pa.RecordBatch:
         shingles = shingle_hashes(word_hashes(row["text"]))
         marks = labelled(shingles)
         for bucket in row["buckets"]:
-            seeds = mix(np.arange(1, FURTHER + 1, dtype=np.uint64) * _LAST + np.int64(bucket).view(np.uint64))
+            seeds = mix(np.arange(1, FURTHER + 1, dtype=np.uint64) * LAST + np.int64(bucket).view(np.uint64))
             for key in sketches(shingles, marks, seeds, FURTHER_PICKS):
                 nums.append(row["num"])
                 keys.append(int(key.view(np.int64)))

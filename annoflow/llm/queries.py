@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from annoflow.llm import chunk_dedup, graph_search, near_dup, pieces, quality, token_counts
+from annoflow.llm import chunk_dedup, graph_search, near_dup, pieces, quality, suffix_dedup, token_counts
 from annoflow.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -25,6 +25,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.chunk_dedup(table(spark, sf_dir, "documents"))
