@@ -59,3 +59,15 @@ def keep_matching(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
     return rows.join(keys, on, "left_semi")
+
+
+#: Rows up to which a counted table of words or rules is sent to every task.
+BROADCAST_ROWS = 200_000
+
+
+def join_counted(rows: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join ``rows`` with a table that is usually small: broadcast if its rows are
+    counted to be few, else left to a shuffle."""
+    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        small = F.broadcast(small)
+    return rows.join(small, on, how)

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from annoflow.llm import chunk_dedup, graph_search, near_dup, pieces, quality, suffix_dedup, token_counts
+from annoflow.llm import chunk_dedup, decontaminate, graph_search, near_dup, pieces, quality, suffix_dedup, token_counts
 from annoflow.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -25,6 +25,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query(decontaminate.CONTAMINATION_SQL)
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("key")
+
+
 @query()
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
