@@ -71,3 +71,14 @@ def join_counted(rows: DataFrame, small: DataFrame, on: str | list[str], how: st
     if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         small = F.broadcast(small)
     return rows.join(small, on, how)
+
+
+def one_row_each(rows: DataFrame, key: str = "key") -> DataFrame:
+    """``rows`` with one of those that share a ``key``: only these are shuffled."""
+    repeated = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key)
+    few = repeated.limit(BROADCAST_KEYS + 1).count()
+    if not few:
+        return rows
+    if few <= BROADCAST_KEYS:
+        repeated = F.broadcast(repeated)
+    return rows.join(repeated, key, "left_anti").union(rows.join(repeated, key, "left_semi").dropDuplicates([key]))

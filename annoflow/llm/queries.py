@@ -4,9 +4,9 @@ with where SQL can say the same."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annoflow.llm import chunk_dedup, decontaminate, graph_search, near_dup, pieces, quality, suffix_dedup, token_counts
+from annoflow.llm import chunk_dedup, decontaminate, graph_search, line_dedup, near_dup, pieces, quality, suffix_dedup, token_counts
 from annoflow.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -51,6 +51,12 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+@query(line_dedup.LINES_SQL)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query()
 def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10)
