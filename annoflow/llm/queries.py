@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annoflow.llm import chunk_dedup, decontaminate, graph_search, line_dedup, near_dup, pieces, quality, suffix_dedup, token_counts
+from annoflow.llm import chunk_dedup, decontaminate, graph_search, licenses, line_dedup, near_dup, pieces, quality, suffix_dedup, token_counts
 from annoflow.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -25,6 +25,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query(licenses.LICENSE_SQL)
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.license_scan(licenses.files_of(table(spark, sf_dir, "documents")))
+    return scanned.withColumnRenamed("file", "doc_id")
+
+
 @query(decontaminate.CONTAMINATION_SQL)
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
