@@ -44,21 +44,26 @@ def map_batches(
 BROADCAST_KEYS = 1_000_000
 
 
+def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` as they are, and their ``content_key``."""
+    return docs.withColumn("key", content_key(docs[id_col], F.coalesce(docs[text_col], F.lit(""))))
+
+
 def content_key(doc_id, text) -> F.Column:
     """Digest of a row's ID and text: names a document where IDs may be null or repeat."""
     name = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("\x00"), text)
     return F.unhex(F.md5(name.cast("binary")))
 
 
-def keep_matching(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows whose ``on`` is among the distinct ``keys``.
+def keep_matching(rows: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
+    """Rows whose ``on`` is among the ``keys``, or with ``left_anti`` those whose is not.
 
     A set counted to be small is broadcast; a larger one is joined by a shuffle.
     """
     keys = keys.select(on).distinct()
     if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
-    return rows.join(keys, on, "left_semi")
+    return rows.join(keys, on, how)
 
 
 #: Rows up to which a counted table of words or rules is sent to every task.

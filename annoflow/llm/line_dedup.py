@@ -63,17 +63,15 @@ def _can_match(n: Column, pos: Column, m: Column, at: Column) -> Column:
     return long_enough & (common * (NUMERATOR + DENOMINATOR) >= (n + m) * NUMERATOR)
 
 
-def line_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """Remove each line that has words in common with an earlier line to a Jaccard similarity of
+def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Lines that have words in common with an earlier line to a Jaccard similarity of
     0.8 or more, in the order of doc_id and place, whether that earlier line stays or not.
 
-    Returns key (see ``content_key``), doc_id, n_lines, n_removed and kept (the text
-    of the other lines). Lines end at newlines; blank ones match nothing and stay. Words are told
+    Returns key (see ``content_key``) and removed (numbers of such lines, from 0) of each document
+    that has any. Lines end at newlines; blank ones match nothing. Words are told
     apart by 56 bits of their hash while candidates are sought and by 64 when they are verified.
-    Null and empty texts are one blank line. Rows that repeat ID and text are one document, returned
-    as often as they come; a null ID comes before all others. Other columns are not read.
+    Null and empty texts are one blank line. Rows that repeat ID and text are one document; a null
+    ID comes before all others. Other columns are not read.
     """
     rows = id_and_text(docs, id_col, text_col).select(
         content_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
@@ -118,17 +116,19 @@ def line_dedup(
     matches = done.union(_verified(written(pairs, "line-pairs"), base, rows))
     similar = base.join(matches.select(F.col("y").alias("num")).distinct(), "num", "left_semi").select("key", "line_no")
 
-    removed = written(again.union(similar).groupBy("key").agg(F.collect_set("line_no").alias("removed")), "removed-lines")
-    parts = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.coalesce("removed", F.array().cast("array<int>")))
-    joined = rows.join(removed, "key", "left").select(
-        "key", "doc_id", "text", F.size(parts).cast("long").alias("n_lines"),
-        F.size(F.coalesce("removed", F.array().cast("array<int>"))).cast("long").alias("n_removed"), parts.alias("lines"), stay.alias("stay"),
-    )
-    return joined.select(
-        "key", "doc_id", "n_lines", "n_removed",
-        F.when(F.col("n_removed") == 0, F.col("text"))
-        .otherwise(F.array_join(F.transform("stay", lambda i: F.element_at(F.col("lines"), i + 1)), "\n")).alias("kept"),
+    return written(again.union(similar).groupBy("key").agg(F.collect_set("line_no").alias("removed")), "removed-lines")
+
+
+def without_lines(docs: DataFrame, removed: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` (with their ``content_key`` as key) with the lines of ``removed`` taken out of their
+    texts, and n_lines and n_removed. Texts without such lines, null ones too, stay as they are."""
+    joined = docs.join(removed, "key", "left").withColumn("_lines", F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("removed"))
+    kept = F.array_join(F.transform(stay, lambda i: F.element_at(F.col("_lines"), i + 1)), "\n")
+    return (
+        joined.withColumn(text_col, F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(kept))
+        .withColumn("n_lines", F.size("_lines").cast("long"))
+        .withColumn("n_removed", F.coalesce(F.size("removed"), F.lit(0)).cast("long")).drop("_lines", "removed")
     )
 
 

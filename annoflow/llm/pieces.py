@@ -16,6 +16,7 @@ from functools import lru_cache
 from math import inf
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -310,7 +311,7 @@ def encode_documents(
     """Encode and decode every text.
 
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256, decoded_equal, and with
-    ``with_ids`` the ids themselves and the decoded text. Null and empty texts
+    ``with_ids`` the ids themselves. Null and empty texts
     have no tokens. Repeated rows come back as often as they came. Other columns
     are not read. Model files are read on each executor from ``model_path``.
     """
@@ -318,7 +319,7 @@ def encode_documents(
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         code = coder(model_path)
         texts = batch.column(1)
-        counts, ids, decoded, equal, raw, plain = [], [], [], [], [], []
+        counts, ids, decoded, equal, raw = [], [], [], [], []
         for value in texts:
             text = value.as_py()
             n, joined, back = code.document(text)
@@ -327,17 +328,17 @@ def encode_documents(
             decoded.append(hashlib.sha256(back.encode()).hexdigest())
             equal.append(back == text)
             if with_ids:
-                raw.append([int(i) for i in joined.split(",")] if joined else [])
-                plain.append(back)
+                raw.append(np.fromstring(joined, np.int32, sep=","))
         out = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
                pa.array(decoded, pa.string()), pa.array(equal, pa.bool_())]
         names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "decoded_equal"]
         if with_ids:
-            out += [pa.array(raw, pa.list_(pa.int32())), pa.array(plain, pa.string())]
-            names += ["ids", "decoded"]
+            offsets = pa.array(np.cumsum([0, *counts]), pa.int32())
+            out.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(raw))))
+            names.append("ids")
         return pa.RecordBatch.from_arrays(out, names=names)
 
     rows = id_and_text(docs, id_col, text_col)
     key = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {key}, n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_equal boolean"
-    return map_batches(rows, run, schema + (", ids array<int>, decoded string" if with_ids else ""))
+    return map_batches(rows, run, schema + (", ids array<int>" if with_ids else ""))

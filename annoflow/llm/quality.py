@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -197,23 +198,28 @@ def train(
     return fit(matrix, table["label"].to_numpy().astype(float))
 
 
-def score(
-    docs: DataFrame, trees: Trees, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, held_out, score and predicted (1 from ``threshold`` on) of every text.
+def score_rows(docs: DataFrame, trees: Trees, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with held_out, score and predicted (1 from ``threshold`` on) for every text, which
+    replace columns of these names.
 
     Null and empty texts are scored like any other, on statistics that are all 0;
-    repeated rows as often as they come. Other columns are not read.
+    repeated rows as often as they come.
     """
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = trees.scores(_features_of(batch.column(1)))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["doc_id", "score"])
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        if not len(texts):
+            return pd.Series([], dtype=float)
+        return pd.Series(trees.scores(np.stack([statistics(t) for t in texts])))
 
-    rows = id_and_text(docs, id_col, text_col)
-    key = rows.schema["doc_id"].dataType.simpleString()
-    scored = map_batches(rows, run, f"doc_id {key}, score double")
-    return scored.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    return (
+        docs.withColumn("held_out", held_out(docs[id_col]))
+        .withColumn("score", scored(F.coalesce(docs[text_col], F.lit(""))))
+        .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     )
+
+
+def score(docs: DataFrame, trees: Trees, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, score and predicted of every text (see ``score_rows``); other columns are not read."""
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    return score_rows(rows, trees, threshold).select("doc_id", "held_out", "score", "predicted")

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from annoflow.llm import chunk_dedup, decontaminate, graph_search, licenses, line_dedup, near_dup, pieces, quality, suffix_dedup, token_counts
-from annoflow.llm.common import Query, table
+from annoflow.llm.common import Query, table, with_key
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -59,8 +59,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(line_dedup.LINES_SQL)
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    docs = table(spark, sf_dir, "documents")
+    kept = line_dedup.without_lines(with_key(docs.select("doc_id", "text")), line_dedup.later_lines(docs))
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(text, 256).alias("kept_sha256"))
 
 
 @query()
