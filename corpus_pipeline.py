@@ -1,13 +1,66 @@
-"""The corpus pipeline: stages over the documents, each applying one operator."""
+"""The corpus pipeline: from raw documents to token ids.
+
+Five stages, each applying one operator to all that the stage before kept. SQL cannot
+express the classifier, the sketches or the piece encoding, so there is no SQL for
+the whole; tests hold the stages against brute force.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from annoflow.llm import decontaminate, line_dedup, near_dup, pieces, quality
+from annoflow.llm.common import keep_matching, one_row_each, table, with_key
+
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, trained on the labelled ones, does not reject."""
+    trees = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_rows(docs, trees)
+    return scored.where("predicted = 1").select(docs.columns)
+
+
+def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that match an earlier line; n_chars goes with the text."""
+    kept = line_dedup.without_lines(with_key(docs), line_dedup.later_lines(docs))
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast("long"))
+    return kept.select(docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    classes = near_dup.near_classes(docs)
+    gone = classes.groupBy("key").agg(F.max("kept").alias("kept")).where(~F.col("kept"))
+    return one_row_each(keep_matching(with_key(docs), gone, "key", "left_anti")).select(docs.columns)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return keep_matching(with_key(docs), found.where("contaminated"), "key", "left_anti").select(docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, their digest and that of the text they decode to."""
+    return pieces.encode_documents(docs, public_tokenizers.path(PIECE_MODEL), with_ids=True)
+
+
+STAGES = [
+    ("quality", good_documents),
+    ("line_dedup", new_lines),
+    ("near_dedup", one_of_each),
+    ("decontamination", uncontaminated),
+    ("sentencepiece", token_ids),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
