@@ -90,26 +90,23 @@ def suffix_array(data: np.ndarray, words: np.ndarray) -> np.ndarray:
     to be equal, and so doubles that part."""
     n = len(data)
     order = np.argsort(words, kind="stable")
-    rank = np.empty(n + 1, np.int64)
-    rank[n] = -1
+    rank = np.empty(n, np.int64)
     heads = _heads(words[order])
     rank[order] = heads
     unsorted = _in_groups(heads)
-    # the end of the text comes before the zero bytes that stand for it
     at, equal = np.flatnonzero(unsorted), 8
     while len(at):
         who = order[at]
-        behind = rank[np.minimum(who + equal, n)]
-        key = rank[who] << 32 | behind + 1
+        # of suffixes that end within the equal part the shorter comes first
+        behind = np.where(who + equal < n, n + rank[np.minimum(who + equal, n - 1)], n - 1 - who)
+        key = rank[who] << 32 | behind
         by = np.argsort(key, kind="stable")
         order[at] = who = who[by]
         key = key[by]
-        group = key >> 32
         fresh = np.concatenate([[True], key[1:] != key[:-1]])
         firsts = np.maximum.accumulate(np.where(fresh, at, 0))
         rank[who] = firsts
         at = at[_in_groups(firsts)]
-        del group
         equal *= 2
     return order
 
