@@ -135,44 +135,50 @@ def edits_within(a: list[np.ndarray], b: list[np.ndarray], band: int) -> np.ndar
     return out
 
 
-def similar(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> list[bool]:
-    """Whether each two texts, as word hashes, align with ``similarity`` or more.
+def measured(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> list[tuple[bool, int]]:
+    """Whether each two texts, as word hashes, align with ``similarity`` or more, and
+    the edits between them: exact if they do, else no more than there are.
 
     Words that one text has and the other has not bound the edits from below.
     What that leaves is aligned in bands that double until the edits fit in one
     or the edits allowed do.
     """
-    out = [False] * len(a)
+    out = [(False, 0)] * len(a)
     left = []
     for p, (x, y) in enumerate(zip(a, b)):
         most = allowed(len(x), len(y), similarity)
-        if abs(len(x) - len(y)) > most:
-            continue
         u, c = np.unique(x, return_counts=True)
         v, d = np.unique(y, return_counts=True)
         _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
-        if max(len(x), len(y)) - int(np.minimum(c[i], d[j]).sum()) <= most:
+        least = max(len(x), len(y)) - int(np.minimum(c[i], d[j]).sum())
+        out[p] = (False, least)
+        if least <= most:
             left.append((p, most))
     band = 8
     while left:
         left.sort(key=lambda q: len(a[q[0]]))
         following, at = [], 0
         while at < len(left):
-            size, cells = 0, 0
-            while at + size < len(left) and (not size or (size + 1) * len(a[left[at + size][0]]) * 24 <= 16_000_000 and size < 128):
+            size = 1
+            # rows of a batch are as long as its longest text: 16 MB at most
+            while at + size < len(left) and size < 128 and (size + 1) * len(a[left[at + size][0]]) * 24 <= 16_000_000:
                 size += 1
             part = left[at : at + size]
             at += size
             found = edits_within([a[p] for p, _ in part], [b[p] for p, _ in part], band)
             for (p, most), edits in zip(part, found):
                 if edits <= band or band >= most:
-                    out[p] = bool(edits <= most)
+                    out[p] = (True, int(edits)) if edits <= most else (False, most + 1)
                 else:
                     following.append((p, most))
         left, band = following, band * 2
     return out
 
 
+def similar(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> list[bool]:
+    return [x for x, _ in measured(a, b, similarity)]
+
+
 # --- stages -------------------------------------------------------------------
 
 
@@ -193,16 +199,60 @@ def _sketched(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _finer(batch: pa.RecordBatch) -> pa.RecordBatch:
-    nums, keys = [], []
+    nums, sizes, keys = [], [], []
     for row in batch.to_pylist():
-        shingles = shingle_hashes(word_hashes(row["text"]))
+        words = word_hashes(row["text"])
+        shingles = shingle_hashes(words)
         marks = labelled(shingles)
         for bucket in row["buckets"]:
             seeds = mix(np.arange(1, FURTHER + 1, dtype=np.uint64) * LAST + np.int64(bucket).view(np.uint64))
             for key in sketches(shingles, marks, seeds, FURTHER_PICKS):
                 nums.append(row["num"])
+                sizes.append(len(words))
                 keys.append(int(key.view(np.int64)))
-    return pa.RecordBatch.from_arrays([pa.array(nums, pa.int64()), pa.array(keys, pa.int64())], names=["num", "bucket"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(nums, pa.int64()), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64())], names=["num", "n_words", "bucket"]
+    )
+
+
+def _aligned(similarity: float):
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known: dict[int, np.ndarray] = {}
+        pairs = batch.select(["a", "b"]).to_pydict()
+        for side in ("a", "b"):
+            for num, text in zip(pairs[side], batch.column(batch.schema.get_field_index(f"text_{side}"))):
+                if num not in known:
+                    known[num] = word_hashes(text.as_py())
+        found = measured([known[n] for n in pairs["a"]], [known[n] for n in pairs["b"]], similarity)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(pairs["a"], pa.int64()), pa.array(pairs["b"], pa.int64()), pa.array([x for x, _ in found], pa.bool_()),
+             pa.array([e for _, e in found], pa.int32())], names=["a", "b", "similar", "edits"],
+        )
+
+    return run
+
+
+def _undecided(met: DataFrame, verdicts: DataFrame, similarity: float) -> DataFrame:
+    """Rows of ``met`` (bucket, num, n_words, first) that must be compared further.
+
+    A text like the bucket's first is linked and can go, unless one unlike the first may still be
+    like it: by the triangle inequality, edits to a text are at least those
+    from the first to the one less those from the first to the other.
+    """
+    seen = verdicts.select(F.col("a").alias("_a"), F.col("b").alias("num"), "similar", "edits")
+    judged = (
+        met.withColumn("_a", F.col("first.num")).join(seen, ["_a", "num"], "left")
+        .withColumn("similar", F.coalesce("similar", F.lit(False)))
+        .withColumn("edits", F.coalesce("edits", F.abs(F.col("n_words") - F.col("first.n_words"))))
+        .select("bucket", "num", "n_words", "first", "similar", "edits")
+    )
+    linked = judged.where("similar").groupBy("bucket").agg(F.max("edits").alias("reach"), F.max("n_words").alias("longest"))
+    judged = judged.join(linked, "bucket", "left")
+    near = (F.col("edits") - F.col("reach")) <= (1 - similarity) * F.greatest("n_words", "longest") + 1e-6
+    judged = judged.withColumn("doubtful", ~F.col("similar") & F.coalesce(near, F.lit(False)))
+    stats = judged.groupBy("bucket").agg(F.max("doubtful").alias("keep_all"), F.sum((~F.col("similar")).cast("int")).alias("others"))
+    stats = stats.where("keep_all OR others > 1").select("bucket", "keep_all")
+    return judged.join(stats, "bucket").where("keep_all OR NOT similar").select("bucket", "num")
 
 
 def near_classes(
@@ -243,61 +293,29 @@ def near_classes(
     texts = keep_matching(rows.select("key", "text"), keys, "key").join(keys, "key").dropDuplicates(["num"])
     texts = written(texts.select("num", "text"), "bucket-texts")
 
-    def aligned(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known: dict[int, np.ndarray] = {}
-        pairs = batch.select(["a", "b"]).to_pydict()
-        for side in ("a", "b"):
-            for num, text in zip(pairs[side], batch.column(batch.schema.get_field_index(f"text_{side}"))):
-                if num not in known:
-                    known[num] = word_hashes(text.as_py())
-        found = similar([known[n] for n in pairs["a"]], [known[n] for n in pairs["b"]], similarity)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(pairs["a"], pa.int64()), pa.array(pairs["b"], pa.int64()), pa.array(found, pa.bool_())],
-            names=["a", "b", "similar"],
-        )
-
-    links: DataFrame | None = None
-    tested: DataFrame | None = None
-    classes = None  # num and class of texts that have links
+    verdicts: DataFrame | None = None
     while True:
-        named = placed if classes is None else placed.join(classes, "num", "left")
-        named = named.withColumn("class", F.col("num") if classes is None else F.coalesce("class", "num"))
-        open_buckets = (
-            named.groupBy("bucket")
-            .agg(F.min(F.struct("num", "n_words", "class")).alias("first"), F.min("class").alias("low"), F.max("class").alias("high"))
-            .where("low < high").select("bucket", "first")
-        )
-        met = written(named.join(open_buckets, "bucket").where("num != first.num"), "bucket-members")
+        heads = placed.groupBy("bucket").agg(F.min(F.struct("num", "n_words")).alias("first"), F.count("*").alias("n")).where("n > 1")
+        met = written(placed.join(heads.drop("n"), "bucket").where("num != first.num"), "bucket-members")
         if met.isEmpty():
             break
-        pairs = met.where(
-            (F.col("class") != F.col("first.class"))
-            & (F.least("n_words", "first.n_words") >= similarity * F.greatest("n_words", "first.n_words") - 1e-6)
-        ).select(F.col("first.num").alias("a"), F.col("num").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        short, long = F.least("n_words", "first.n_words"), F.greatest("n_words", "first.n_words")
+        pairs = met.where(short >= similarity * long - 1e-6).select(F.col("first.num").alias("a"), F.col("num").alias("b")).distinct()
+        if verdicts is not None:
+            pairs = pairs.join(verdicts, ["a", "b"], "left_anti")
         with_texts = (
             pairs.join(texts.select(F.col("num").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("num").alias("b"), F.col("text").alias("text_b")), "b")
         )
-        verdicts = written(map_batches(with_texts, aligned, "a long, b long, similar boolean"), "alignments")
-        new = verdicts.where("similar").select("a", "b")
-        tested = verdicts.select("a", "b") if tested is None else tested.union(verdicts.select("a", "b"))
-        if not new.isEmpty():
-            links = new if links is None else links.union(new)
-            classes = components(links, "a", "b").select(F.col("node").alias("num"), F.col("component").alias("class"))
-        left = met.select("num", "n_words", "bucket")
-        if classes is not None:
-            left = left.join(classes, "num", "left").withColumn("class", F.coalesce("class", "num"))
-            still = left.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-            left = left.join(still.select("bucket"), "bucket").drop("class")
-        else:
-            still = left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-            left = left.join(still.select("bucket"), "bucket")
-        lists = left.groupBy("num", "n_words").agg(F.collect_list("bucket").alias("buckets"))
-        finer = map_batches(lists.join(texts, "num").select("num", "text", "buckets"), _finer, "num long, bucket long")
-        placed = written(finer.join(lists.select("num", "n_words"), "num"), "finer-buckets")
-
+        new = written(map_batches(with_texts, _aligned(similarity), "a long, b long, similar boolean, edits int"), "alignments")
+        verdicts = new if verdicts is None else verdicts.union(new)
+        lists = _undecided(met, verdicts, similarity).groupBy("num").agg(F.collect_list("bucket").alias("buckets"))
+        finer = map_batches(texts.join(lists, "num").select("num", "text", "buckets"), _finer, "num long, n_words int, bucket long")
+        placed = written(finer, "finer-buckets")
+
+    classes = None
+    if verdicts is not None:
+        classes = components(verdicts.where("similar"), "a", "b").select(F.col("node").alias("num"), F.col("component").alias("class"))
     if classes is None:
         classes = base.sparkSession.createDataFrame([], "num long, class long")
     named = (

@@ -79,7 +79,8 @@ def test_proximity(spark, make_docs, slop):
     docs = [(i, " ".join(draw.choice("abcdefg") for _ in range(40))) for i in range(30)]
     items = [(0, "a b c"), (1, "d"), (2, "g g e b")]
     phrases = decontaminate.item_windows(spark.createDataFrame(items, "item_id long, text string"))
-    keyed = with_key(make_docs(docs).drop("key", "words")).withColumn("words", decontaminate.words_of(make_docs(docs).text))
+    keyed = with_key(make_docs(docs).select("doc_id", "text"))
+    keyed = keyed.withColumn("words", decontaminate.words_of(keyed.text))
     index = decontaminate.build_index(keyed.select("key", "words"), phrases.windows)
     near = decontaminate.proximity_matches(index, phrases.windows, slop)
     exact = decontaminate.phrase_matches(index, phrases.windows)
