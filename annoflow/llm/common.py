@@ -8,6 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+#: Bytes of a batch that a Python function works on at a time.
+SLICE_BYTES = 4 << 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,12 +31,13 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def map_batches(
     df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType
 ) -> DataFrame:
-    """Run ``fn`` over each Arrow batch."""
+    """Run ``fn`` over Arrow batches, cut so that each holds about ``SLICE_BYTES``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
+            step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                out = fn(batch.slice(at, step))
                 if out is not None:
                     yield out
 

@@ -27,7 +27,7 @@ from annoflow.session import written
 #: Bytes of a string, of the hashed part at an anchor, and of its surroundings on one side.
 LENGTH, GRAM, SIDE = 400, 16, 200
 #: Bytes of a text looked at together, and of a shard.
-BLOCK, SHARD = 1 << 20, 2 << 20
+BLOCK, SHARD = 1 << 20, 1 << 20
 _PLACE = np.uint64((1 << 30) - 1)
 
 
@@ -259,20 +259,32 @@ def _spread_shard(group: pa.Table) -> pa.Table:
     """A shard of an anchor that several shards share: the spans repeated within it,
     and the digest of each of its strings once, for the merge with the others."""
     texts = group["piece"].to_pylist()
-    rows, seen = [], set()
+    tables, seen = [], set()
     for x, y, text, starts in zip(group["a"].to_pylist(), group["b"].to_pylist(), texts, repeated_starts(texts)):
-        rows += [(x, y, begin, end, None, None) for begin, end in spans_of(starts)]
-        within = set(starts.tolist())
-        for start in range(len(text) - LENGTH + 1):
+        spans = np.array(spans_of(starts), np.int64).reshape(-1, 2)
+        within = np.zeros(max(0, len(text) - LENGTH + 1), bool)
+        within[starts] = True
+        digests, places = [], []
+        for start in range(len(within)):
             digest = xxhash.xxh3_128_digest(text[start : start + LENGTH])
-            if start in within:
+            if within[start]:
                 if digest in seen:
                     continue
                 seen.add(digest)
-            c, d = np.frombuffer(digest, np.int64)
-            rows.append((x, y, start, start + LENGTH, int(c), int(d)))
-    columns = list(zip(*rows)) or [[]] * 6
-    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("a", "b", "from", "to", "c", "d"), columns)})
+            digests.append(digest)
+            places.append(start)
+        halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        places = np.array(places, np.int64)
+        tables.append(_rows(x, y, spans[:, 0], spans[:, 1], None))
+        tables.append(_rows(x, y, places, places + LENGTH, halves))
+    return pa.concat_tables(tables)
+
+
+def _rows(x: int, y: int, begins: np.ndarray, ends: np.ndarray, digests: np.ndarray | None) -> pa.Table:
+    n = len(begins)
+    c, d = (pa.nulls(n, pa.int64()),) * 2 if digests is None else (pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy()))
+    columns = [pa.array(np.full(n, x)), pa.array(np.full(n, y)), pa.array(begins), pa.array(ends), c, d]
+    return pa.table(dict(zip(("a", "b", "from", "to", "c", "d"), columns)))
 
 
 def _merged(group: pa.Table) -> pa.Table:
@@ -359,14 +371,14 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spread_size = homes.where(hot).agg(F.sum(F.col("end") - F.col("begin"))).first()[0] or 0
     removed = spans
     if spread_size:
-        parts = -(-int(spread_size) // SHARD)
+        parts = -(-int(spread_size) * 4 // SHARD)
         strings = with_text(homes.where(hot)).withColumn("shard", F.pmod(F.xxhash64("a", "b"), F.lit(parts)).cast("int"))
         strings = written(
             strings.repartition(parts, "shard").groupBy("shard")
             .applyInArrow(_spread_shard, "a long, b long, `from` long, `to` long, c long, d long"), "strings",
         )
-        # at most LENGTH strings for each piece of LENGTH bytes: 64 slices a shard hold about as much
-        lots = parts * 64
+        # no more strings than bytes: eight slices a part hold a few megabytes of digests each
+        lots = parts * 8
         sliced = strings.where("c IS NOT NULL").withColumn("slice", F.pmod(F.xxhash64("c", "d"), F.lit(lots)).cast("int"))
         merged = sliced.groupBy("slice").applyInArrow(_merged, "a long, b long, `from` long, `to` long")
         removed = removed.union(strings.where("c IS NULL").select("a", "b", "from", "to")).union(merged)
