@@ -150,11 +150,14 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     chunks = single.select("num", "doc_id", F.posexplode("digests").alias("place", "digest")).select(
         "num", "doc_id", "place", F.col("digest.a").alias("a"), F.col("digest.b").alias("b")
     )
+    # half a digest tells nearly all chunks that occur once; the rest are compared by the whole
+    shared = written(chunks.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a"), "shared-digests")
+    likely = written(keep_matching(chunks, shared, "a"), "likely-repeats")
     repeated = (
-        chunks.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "num", "place")).alias("first"))
+        likely.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "num", "place")).alias("first"))
         .where("n > 1")
     )
-    later = chunks.join(repeated, ["a", "b"]).where(
+    later = likely.join(repeated, ["a", "b"]).where(
         (F.col("num") != F.col("first.num")) | (F.col("place") != F.col("first.place"))
     )
     by_doc = later.groupBy("num").agg(
