@@ -37,23 +37,29 @@ def _paths(pointer: str) -> list[str]:
     return ["$" + "".join(path) for path in product(*choices)]
 
 
-def pointer_value(variant: Column, pointer: str) -> Column:
+def pointer_value(variant: Column, pointer: str, json: Column | None = None) -> Column:
     """The scalar at a JSON Pointer as text; null for anything else.
 
-    Absent, JSON null, objects and arrays all give null.
+    Absent, JSON null, objects and arrays all give null. With ``json``, the text that
+    ``variant`` was parsed from, a number that is not whole in its text keeps
+    its point: 10.0 is another ID than 10.
     """
     found = []
     for path in _paths(pointer):
         node = F.try_variant_get(variant, path, "variant")
         kind = F.schema_of_variant(node)
         scalar = ~(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
-        found.append(F.when(scalar, F.try_variant_get(variant, path, "string")))
+        text = F.try_variant_get(variant, path, "string")
+        if json is not None and '"' not in path:
+            written = F.trim(F.get_json_object(json, path), F.lit('"'))
+            text = F.when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.coalesce(written, text)).otherwise(text)
+        found.append(F.when(scalar, text))
     return F.coalesce(*found)
 
 
 def id_by_pointer(json: Column, pointer: str) -> Column:
     """ID at a pointer. Null or empty means the object is not a document."""
-    return bind(F.try_parse_json(json), lambda variant: pointer_value(variant, pointer))
+    return bind(F.try_parse_json(json), lambda variant: pointer_value(variant, pointer, json))
 
 
 def id_by_template(json: Column, template: str) -> Column:
@@ -79,7 +85,7 @@ def id_by_template(json: Column, template: str) -> Column:
         return F.coalesce(
             *(
                 F.concat(
-                    *(pointer_value(variant, piece) if is_pointer else F.lit(piece) for piece, is_pointer in parts)
+                    *(pointer_value(variant, piece, json) if is_pointer else F.lit(piece) for piece, is_pointer in parts)
                 )
                 for parts in compiled
             )

@@ -21,8 +21,9 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def truthy(value: Column) -> Column:
-    """Whether text means true: a true word, ignoring case and outer space."""
-    return F.coalesce(F.lower(F.trim(value)).isin(*TRUE_WORDS), F.lit(False))
+    """Whether text means true: a true word, ignoring case and outer white space and control characters."""
+    inner = F.regexp_replace(value, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.coalesce(F.lower(inner).isin(*TRUE_WORDS), F.lit(False))
 
 
 def selected(set_name: Column, type_: Column, selections: Sequence[Selection]) -> Column:

@@ -64,7 +64,7 @@ def with_window(
         lambda a: (a["set_name"] == F.lit(set_name or "")) & (a["type"] == F.lit(window_type)),
     )
     conflict = F.concat(
-        F.lit(f"Found more than one {window_type} annotation for document "), F.col("doc_id")
+        F.lit("document "), F.col("doc_id"), F.lit(f" has several {window_type} annotations, so no window")
     )
     one = lambda windows: F.when(
         F.size(windows) > 0,

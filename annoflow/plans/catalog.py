@@ -357,7 +357,7 @@ def annotations_within(spark, sf_dir):
       e AS (SELECT doc_id, count(*) AS n FROM ann WHERE type = 'Email' GROUP BY doc_id)
       SELECT CAST(d.doc_id AS VARCHAR) AS doc_id,
              CASE WHEN n > 1 THEN 'FAIL' ELSE 'SUCCESS' END AS return_code,
-             CASE WHEN n > 1 THEN 'Found more than one Email annotation for document ' || d.doc_id
+             CASE WHEN n > 1 THEN 'document ' || d.doc_id || ' has several Email annotations, so no window'
              END AS error
       FROM documents d LEFT JOIN e ON e.doc_id = CAST(d.doc_id AS VARCHAR)"""
 )
@@ -389,19 +389,17 @@ def conditional_save(spark, sf_dir):
 
 
 @query(
-    """SELECT doc_id, v.value AS given, coalesce(lower(trim(v.value)) IN ('true', 'yes', 'on'), false) AS truth
-       FROM labels, (VALUES (' True '), ('YES'), ('on'), ('1'), ('off'), (''), ('tru e'), (NULL)) v(value)
-       WHERE (quality = 1) = (length(coalesce(v.value, '')) > 2)"""
+    """SELECT doc_id, v.value AS given,
+              coalesce(lower(regexp_replace(v.value, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')) IN ('true', 'yes', 'on'), false) AS truth
+       FROM labels, (VALUES (' True '), ('YES'), ('on'), ('1'), ('off'), (''), ('tru e'), (NULL),
+                            (chr(9) || 'yes'), ('On' || chr(13) || chr(10)), (chr(9)), ('no' || chr(10))) v(value)"""
 )
 def truthy_values(spark, sf_dir):
-    given = [" True ", "YES", "on", "1", "off", "", "tru e", None]
+    given = [" True ", "YES", "on", "1", "off", "", "tru e", None, "\tyes", "On\r\n", "\t", "no\n"]
     grid = table(spark, sf_dir, "labels").select(
-        "doc_id", "quality", F.explode(F.array(*(F.lit(g).cast("string") for g in given))).alias("given")
-    )
-    longer = F.length(F.coalesce("given", F.lit(""))) > 2
-    return grid.filter((F.col("quality") == 1) == longer).select(
-        "doc_id", "given", truthy(F.col("given")).alias("truth")
+        "doc_id", F.explode(F.array(*(F.lit(g).cast("string") for g in given))).alias("given")
     )
+    return grid.select("doc_id", "given", truthy(F.col("given")).alias("truth"))
 
 
 # --- IDs -------------------------------------------------------------------

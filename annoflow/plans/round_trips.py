@@ -148,6 +148,47 @@ def json_chunk_docs(spark, sf_dir):
     return _turn_rows(json_stream.json_documents(json_stream.read_objects(made, "gzip"), **_TURN_ID))
 
 
+@query("SELECT doc_id, CAST(2 AS BIGINT) AS times FROM documents")
+def rewritten_chunks(spark, sf_dir):
+    """Every document, written in two halves that share a folder: the first half, the
+    second, and the first again under its key, which must leave the second's files alone."""
+    root = scratch_path(spark, "rewritten")
+    docs = table(spark, sf_dir, "documents").select(
+        (F.col("doc_id") % 2).alias("half"), F.to_json(F.struct("doc_id", "text")).alias("rendered")
+    )
+    files = []
+    for half, key in ((0, "run/a"), (1, "run_a"), (0, "run/a")):
+        files.append(write_chunks(docs.where(F.col("half") == half), root, chunk_bytes=200_000, key=key).select("file"))
+    listed = files[1].union(files[2]).select(F.concat(F.lit(root + "/"), "file").alias("path"))
+    there = spark.read.text(root, pathGlobFilter="part-*.json").select(F.col("value").alias("json"))
+    rows = json_stream.read_objects(listed, None).union(there)
+    ids = rows.select(F.get_json_object("json", "$.doc_id").cast("long").alias("doc_id"))
+    return ids.groupBy("doc_id").agg(F.count("*").alias("times"))
+
+
+@query(
+    """SELECT CASE event_id % 5 WHEN 0 THEN event_id || '.0' WHEN 1 THEN CAST(event_id AS VARCHAR) WHEN 2 THEN 'e' || event_id
+                   WHEN 3 THEN CAST(event_id AS VARCHAR) || '.5' ELSE 'true' || event_id END AS doc_id,
+              event_id % 5 <> 4 AS has_number
+       FROM events"""
+)
+def json_hard_ids(spark, sf_dir):
+    """IDs of objects with decimals, numbers past a double's range, repeated keys, lone
+    surrogates, and lines of white space among them."""
+    n, five = F.col("event_id").cast("string"), F.col("event_id") % 5
+    line = (
+        F.when(five == 0, F.concat(F.lit('{"id": '), n, F.lit(".0, \t\"x\": 1e400}\n\t")))
+        .when(five == 1, F.concat(F.lit('{"id": 0, "id": '), n, F.lit("}")))
+        .when(five == 2, F.concat(F.lit('{"id": "e'), n, F.lit('", "text": "\\ud800 cut"}\n \n')))
+        .when(five == 3, F.concat(F.lit('{"text": "\\t", "id": '), n, F.lit(".5}")))
+        .otherwise(F.concat(F.lit('{"id": "true'), n, F.lit('"}')))
+    )
+    path = scratch_path(spark, "hard-lines")
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    docs = json_stream.json_documents(json_stream.read_lines(spark, path), id_pointer="/id")
+    return docs.select("doc_id", (~F.col("doc_id").startswith("true")).alias("has_number"))
+
+
 # --- files and ZIP files ---------------------------------------------------
 
 _FILE_SQL = """SELECT 'in/' || lang || '/' || doc_id || '.txt' AS doc_id, md5(text) AS digest,

@@ -25,6 +25,8 @@ def scratch_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="annoflow-")

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import codecs
 import json
+import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,7 +49,7 @@ def read_objects(files: DataFrame, compression: str | None = None) -> DataFrame:
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Column ``json`` of newline-delimited files (plain, or gz and bz2 by name)."""
-    return compact(spark.read.text(path).filter(F.trim("value") != ""), "value")
+    return compact(spark.read.text(path).filter(F.col("value").rlike(r"[^\x00-\x20]")), "value")
 
 
 def compact(df: DataFrame, column: str) -> DataFrame:
@@ -62,8 +64,31 @@ def compact(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).mapInArrow(run, "json string")
 
 
+#: Marks a number kept as it was written; no text holds it by chance.
+_NUMBER = "\x00number\x00" + uuid.uuid4().hex
+
+
+def _is_number(value) -> bool:
+    return isinstance(value, str) and value.startswith(_NUMBER)
+
+
+def _not_json(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
+_READ = {"parse_float": lambda text: _NUMBER + text, "parse_constant": _not_json}
+
+
 def _compact(text: str) -> str:
-    return json.dumps(json.loads(text), ensure_ascii=False, separators=(",", ":"))
+    return _written(json.loads(text, **_READ))
+
+
+def _written(value) -> str:
+    """JSON without space: numbers with a point or exponent as they were, lone surrogates escaped."""
+    text = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    mark = _NUMBER.replace("\x00", "\\u0000")
+    text = re.sub(f'"{re.escape(mark)}([^"]*)"', r"\1", text)
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m.group()):04x}", text)
 
 
 def values_in(pieces: Iterator[bytes]) -> Iterator[str]:
@@ -72,7 +97,7 @@ def values_in(pieces: Iterator[bytes]) -> Iterator[str]:
     Holds one value at a time. A value cut by the end of a piece is tried again
     once the text held has doubled, so a large one is not parsed once per piece.
     """
-    decoder = json.JSONDecoder()
+    decoder = json.JSONDecoder(**_READ)
     decode = codecs.getincrementaldecoder("utf-8-sig")("strict").decode
     text, at, retry_at = "", 0, 0
     in_array = started = ended = False
@@ -105,10 +130,11 @@ def values_in(pieces: Iterator[bytes]) -> Iterator[str]:
                     raise ValueError(f"broken JSON stream: {error}") from None
                 retry_at = 2 * (len(text) - at)
                 break
-            if end == len(text) and not ended and not isinstance(value, (dict, list, str)):
+            is_scalar = not isinstance(value, (dict, list, str)) or _is_number(value)
+            if is_scalar and not ended and re.fullmatch("[-+.0-9eE]*", text[end:]):
                 break  # a number may go on in the next piece
             at = end
-            yield json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+            yield _written(value)
         if ended:
             if in_array:
                 raise ValueError("broken JSON stream: the array is not closed")
@@ -122,14 +148,21 @@ def json_documents(
     id_template: str | None = None,
     mime_type: str | None = None,
 ) -> DataFrame:
-    """Documents from column ``json``; objects without an ID are left out."""
+    """Documents from column ``json``; objects without an ID are left out.
+
+    An object that cannot be parsed to look for its ID (too large for a variant, say)
+    fails the job: it must not pass for one without an ID.
+    """
     if id_pointer is None and id_template is None:
-        raise ValueError("one of id_pointer and id_template is required")
+        raise ValueError("json_documents takes IDs from a pointer or from a template: give one")
     doc_id: Column = (
         id_by_pointer(F.col("json"), id_pointer)
         if id_pointer is not None
         else id_by_template(F.col("json"), id_template)
     )
+    unread = F.col("json").isNotNull() & F.try_parse_json("json").isNull()
+    problem = F.concat(F.lit("cannot parse a JSON object that begins "), F.substring("json", 1, 80))
+    doc_id = F.when(unread, F.raise_error(problem).cast("string")).otherwise(doc_id)
     found = objects.withColumn("doc_id", doc_id).filter(is_document(F.col("doc_id")))
     docs = as_documents(found, "doc_id", "json", mime_type=mime_type)
     # The size of one object in a stream is not known.

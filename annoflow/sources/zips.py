@@ -19,11 +19,10 @@ ZIP_ATTR = "zip"
 
 
 def paths_frame(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Container files as rows, one partition each up to a few per core."""
+    """Container files as rows, one partition each: a lost task repeats one file."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    many = 4 * spark.sparkContext.defaultParallelism
     frame = spark.createDataFrame([(p,) for p in paths], "path string")
-    return frame.repartition(max(1, min(len(paths), many)))
+    return frame.repartition(max(1, len(paths)))
 
 
 def list_zip_entries(
@@ -91,7 +90,7 @@ def read_zip_entries(
             try:
                 entry = opened(path).getinfo(row["doc_id"])
             except KeyError:
-                raise KeyError(f"Unknown entry {row['doc_id']} requested from zip file {path}") from None
+                raise KeyError(f"{path} holds no entry {row['doc_id']}") from None
             data = opened(path).read(entry)
             return {"text": data.decode(charset, "replace"), "file_size": entry.file_size}
 

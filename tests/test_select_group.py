@@ -70,7 +70,7 @@ def test_counts_have_zeros(found):
 
 def test_window(found):
     rows = {r["doc_id"]: r for r in apply_window(with_window(found, "U", "S")).collect()}
-    assert rows["c"]["error"].startswith("Found more than one U annotation")
+    assert rows["c"]["error"].endswith("has several U annotations, so no window")
     assert rows["b"]["text"] == "nothing" and rows["b"]["error"] is None
     assert rows["a"]["window"]["features"] == {"id": "7"}
     one = rows["a"]

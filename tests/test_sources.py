@@ -137,7 +137,7 @@ def test_zip(spark, tmp_path):
     assert [(r["doc_id"], r["file_size"]) for r in ids.collect()] == [("d/a.txt", 100), ("d/é.txt", 5)]
     got = rows_by_id(zips.read_zip_entries(ids.unionByName(ids_of(spark, "gone", zip=path), True)))
     assert got["d/a.txt"]["text"] == "A" * 100 and got["d/a.txt"]["file_size"] == 100
-    assert got["gone"]["load_error"].strip("'") == f"Unknown entry gone requested from zip file {path}"
+    assert got["gone"]["load_error"].strip("'") == f"{path} holds no entry gone"
     got = rows_by_id(zips.read_zip_entries(ids_of(spark, "b.xml"), path, mime_type="text/xml"))
     assert got["b.xml"]["text"] == "<b/>" and got["b.xml"]["mime_type"] == "text/xml"
 
@@ -333,6 +333,33 @@ def test_unsupported_codecs(spark, tmp_path):
             json_stream.read_objects(zips.paths_frame(spark, "x"), name)
 
 
+@pytest.mark.parametrize(
+    "text, same",
+    [
+        ('{"x": 1e400, "y": [10.0, -2.50E+3]}', '{"x":1e400,"y":[10.0,-2.50E+3]}'),
+        ('{"x": "\\ud800 \\u00e9"}', '{"x":"\\ud800 é"}'),
+        ('{"a": 1, "a": 2.0}', '{"a":2.0}'),
+        (" 12.50 ", "12.50"),
+    ],
+)
+def test_values_keep_their_numbers_and_surrogates(text, same):
+    assert list(json_stream.values_in(iter([text.encode()]))) == [same]
+    assert list(json_stream.values_in(bytes([b]) for b in text.encode())) == [same]
+    assert json_stream._compact(text) == same
+
+
+@pytest.mark.parametrize("text", ['{"a": NaN}', "[Infinity]"])
+def test_what_is_not_json_fails(text):
+    with pytest.raises(ValueError):
+        list(json_stream.values_in(iter([text.encode()])))
+
+
+def test_an_object_that_cannot_be_parsed_is_no_object_without_an_id(spark):
+    rows = spark.createDataFrame([('{"id": 1, "id": 2}',)], "json string")
+    with pytest.raises(Exception, match="cannot parse a JSON object"):
+        json_stream.json_documents(rows, id_pointer="/id").collect()
+
+
 @pytest.mark.parametrize("text", ['[{"a":1},', '{"a":1}{"a"', '{"a":1} x', '[{"a":1}'])
 def test_broken_stream_fails(text):
     with pytest.raises(ValueError):
