@@ -127,6 +127,9 @@ def _annotate_one(call: Callable[[dict], Iterable[dict]], row: dict) -> dict:
         found = [_annotation(a, i) for i, a in enumerate(call(doc) or ())]
         features = [(str(k), _as_text(v)) for k, v in doc["features"].items()]
         text = _as_text(doc["text"])
+        for a in found:
+            if not 0 <= a["start"] <= a["end"] <= len(text or ""):
+                raise ValueError(f"annotation {a['ann_id']} ({a['start']} to {a['end']}) lies outside the text")
     except MemoryError:
         raise
     except Exception as error:

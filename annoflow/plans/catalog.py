@@ -151,18 +151,16 @@ def gazetteer_lookup(spark, sf_dir):
         .filter("term <> ''")
         .distinct()
     )
-    # Counted before the join, so a frequent term is one row per task in the
-    # shuffle, not one per token.
+    # Only words of the list are counted; they are counted in two steps, so a
+    # frequent one is a row per task and document in the shuffle, not one per token.
     per_doc = (
         balanced(table(spark, sf_dir, "documents").select("doc_id", "text"))
         .select("doc_id", F.explode(F.split("text", " ", -1)).alias("term"))
+        .join(terms, "term", "left_semi")
         .groupBy("term", "doc_id")
         .agg(F.count("*").alias("n"))
     )
-    per_term = per_doc.groupBy("term").agg(
-        F.sum("n").alias("matches"), F.count("*").alias("docs")
-    )
-    return per_term.join(terms, "term", "left_semi")
+    return per_doc.groupBy("term").agg(F.sum("n").alias("matches"), F.count("*").alias("docs"))
 
 
 # --- selecting, counting, grouping -----------------------------------------

@@ -127,3 +127,12 @@ def test_failing_setup_ends_the_run(docs):
 
     with pytest.raises(Exception, match="no model"):
         annotate(docs, App).collect()
+
+
+@pytest.mark.parametrize("start, end", [(-1, 1), (2, 1), (0, 6)])
+def test_annotations_outside_the_text_fail_the_document(spark, start, end):
+    docs = as_documents(spark.createDataFrame([("a", "12345"), ("b", "123456")], "id string, body string"), "id", "body")
+    found = annotate(docs, lambda: lambda doc: [{"type": "X", "start": start, "end": end}])
+    errors = {r.doc_id: r.error for r in found.collect()}
+    assert "outside the text" in errors["a"]
+    assert ("outside" in (errors["b"] or "")) == (not (start, end) == (0, 6))
