@@ -26,29 +26,42 @@ _HASH_BITS = 56
 
 
 def line_words(line: Column) -> Column:
-    """The distinct words of a line; blanks part words."""
-    return F.array_distinct(F.array_remove(F.split(line, r"\s+"), ""))
+    """The words of a line, repeated ones too, and empty ones; blanks part words.
+
+    Plain spaces are cut at without a regular expression, which most lines need not.
+    """
+    odd = line.contains("\t") | line.contains("\x0b") | line.contains("\f") | line.contains("\r")
+    return F.when(odd, F.split(line, r"\s+")).otherwise(F.split(line, " "))
+
+
+def word_hashes(line: Column) -> Column:
+    """64-bit hashes of the distinct words of a line."""
+    return F.array_distinct(F.transform(F.array_remove(line_words(line), ""), lambda w: F.xxhash64(w)))
 
 
-def rarity_classes(lines: DataFrame) -> DataFrame:
-    """One row, one array: for each counter, a class that grows with the logarithm of its words' frequency."""
-    counter = F.pmod(F.xxhash64("word"), F.lit(COUNTERS)).cast("int")
-    counts = lines.select(F.explode("words").alias("word")).groupBy(counter.alias("counter")).agg(F.count("*").alias("n"))
+def rarity_classes(texts: DataFrame) -> DataFrame:
+    """One row, one array: for each counter, a class that grows with the logarithm of its words'
+    frequency in all of ``text``."""
+    words = texts.select(F.explode(line_words(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))).alias("word")).where("word != ''")
+    counts = words.groupBy(_counter(F.xxhash64("word")).alias("counter")).agg(F.count("*").alias("n"))
     classes = counts.select("counter", F.floor(4 * F.log2(F.col("n") + 1)).cast("tinyint").alias("class"))
-    every = lines.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("counter"))
+    every = texts.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("counter"))
     full = written(every.join(classes, "counter", "left").select("counter", F.coalesce("class", F.lit(0).cast("tinyint")).alias("class")), "rarity")
     # COUNTERS rows, whatever the corpus
     return full.agg(F.transform(F.array_sort(F.collect_list(F.struct("counter", "class"))), lambda x: x["class"]).alias("classes"))
 
 
-def _codes(words: Column, classes: Column) -> Column:
-    """Words as numbers that sort by rarity class, then hash."""
+def _counter(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
 
-    def code(word):
-        place = F.pmod(F.xxhash64(word), F.lit(COUNTERS)).cast("int") + 1
-        return F.element_at(classes, place).cast("long") * F.lit(1 << _HASH_BITS) + F.xxhash64(word).bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
 
-    return F.sort_array(F.transform(words, code))
+def _codes(hashes: Column, classes: Column) -> Column:
+    """Hashes as numbers that sort by rarity class, then hash."""
+
+    def code(h):
+        return F.shiftleft(F.element_at(classes, _counter(h) + 1).cast("long"), _HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
+
+    return F.sort_array(F.transform(hashes, code))
 
 
 def _prefix(n: Column) -> Column:
@@ -78,10 +91,8 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     single = one_row_each(rows)
     lines = single.select("key", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    worded = lines.withColumn("words", line_words(F.col("line")))
-    classes = rarity_classes(worded)
-    coded = worded.withColumn("classes", classes.scalar())
-    coded = coded.withColumn("codes", _codes(F.col("words"), F.col("classes"))).withColumn("n", F.size("codes"))
+    coded = lines.withColumn("classes", rarity_classes(single).scalar())
+    coded = coded.withColumn("codes", _codes(word_hashes(F.col("line")), F.col("classes"))).withColumn("n", F.size("codes"))
     base = coded.where("n > 0").select(
         F.monotonically_increasing_id().alias("num"), "key", "doc_id", "line_no", F.unhex(F.md5(F.col("line").cast("binary"))).alias("lid"),
         "n", F.slice("codes", F.lit(1), _prefix(F.col("n")).cast("int")).alias("prefix"),
@@ -95,9 +106,17 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     again = marked.where("first_num != num").select("key", "line_no")
     firsts = marked.where("first_num IS NULL OR first_num = num")
 
-    placed = firsts.select("num", "doc_id", "n", F.posexplode("prefix").alias("pos", "code"))
-    shared = placed.groupBy("code").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "num", "n", "pos")).alias("head")).where("times > 1")
-    placed = written(placed.join(shared.select("code", "head"), "code"), "shared-words")
+    # what most words of a prefix need is to be found in no other: so few columns as can be go there
+    shape = F.col("n").cast("long") * (1 << 32) + F.col("pos")
+    listed = firsts.select("num", "n", F.posexplode("prefix").alias("pos", "code")).select("code", "num", shape.alias("shape"))
+    shared = listed.groupBy("code").agg(F.count("*").alias("times")).where("times > 1").select("code")
+    listed = listed.join(shared, "code", "left_semi")
+    placed = listed.join(firsts.select("num", "doc_id"), "num").select(
+        "code", "num", "doc_id", F.shiftright("shape", 32).cast("int").alias("n"), F.col("shape").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos")
+    )
+    placed = written(placed, "listed-words")
+    heads = placed.groupBy("code").agg(F.min(F.struct("doc_id", "num", "n", "pos")).alias("head"))
+    placed = written(placed.join(heads, "code"), "shared-words")
 
     # the earliest line of each list meets the others
     led = placed.where((F.col("head.num") != F.col("num")) & _can_match(F.col("head.n"), F.col("head.pos"), F.col("n"), F.col("pos")))
@@ -140,8 +159,7 @@ def _verified(pairs: DataFrame, base: DataFrame, rows: DataFrame) -> DataFrame:
     texts = keep_matching(rows.select("key", "text"), wanted, "key").dropDuplicates(["key"])
     by_doc = wanted.groupBy("key").agg(F.collect_list(F.struct("num", "line_no")).alias("wanted"))
     lines = texts.join(by_doc, "key").select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("one"))
-    words = line_words(F.element_at("lines", F.col("one.line_no") + 1))
-    sets = lines.select(F.col("one.num").alias("num"), F.transform(words, lambda w: F.xxhash64(w)).alias("set"))
+    sets = lines.select(F.col("one.num").alias("num"), word_hashes(F.element_at("lines", F.col("one.line_no") + 1)).alias("set"))
     sets = written(sets, "candidate-sets")
     both = (
         pairs.join(sets.select(F.col("num").alias("x"), F.col("set").alias("a")), "x")
