@@ -429,6 +429,41 @@ def restarted_run(spark, sf_dir):
     return ledgers.read_ledger(spark, root).select("doc_id", "return_code", "run_id")
 
 
+class _Breaks:
+    """An application that ends its task at one document, as a lost machine would."""
+
+    def __init__(self, at: str):
+        self.at = at
+
+    def annotate(self, doc: dict) -> list[dict]:
+        if doc["doc_id"] == self.at:
+            raise MemoryError("the first run ends here")
+        return []
+
+
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(1 AS BIGINT) AS times, true AS any_earlier, true AS any_later
+       FROM documents"""
+)
+def interrupted_run(spark, sf_dir):
+    """A run in slices dies in the middle; another does the rest, and each document is done once."""
+    root = scratch_path(spark, "interrupted")
+    docs = documents(spark, sf_dir)
+    middle = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 2).agg(F.max("doc_id")).first()[0]
+    spec = JobSpec("interrupted", root, lambda: _Breaks(middle), documents=docs)
+    try:
+        run(spark, spec, run_id="first", slices=4)
+    except Exception as error:
+        if "the first run ends here" not in str(error):
+            raise
+    run(spark, JobSpec("interrupted", root, [tokens()], documents=docs), run_id="second", slices=4)
+    done = ledgers.read_ledger(spark, root).where("return_code = 'SUCCESS'")
+    runs = done.agg(F.max(F.col("run_id") == "first").alias("any_earlier"), F.max(F.col("run_id") == "second").alias("any_later")).first()
+    return done.groupBy("doc_id").agg(F.count("*").alias("times")).select(
+        "doc_id", "times", F.lit(runs["any_earlier"]).alias("any_earlier"), F.lit(runs["any_later"]).alias("any_later")
+    )
+
+
 @query(
     """SELECT conv_id || '_' || turn AS doc_id, 'SUCCESS' AS return_code,
               CAST(length(text) AS BIGINT) AS chars

@@ -37,7 +37,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return posixpath.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to scratch space as Parquet and read it back.
 
     Used where a later step must see exactly the rows an earlier step saw
@@ -48,7 +48,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     held = _TEMPORARY.get()
     if held is not None:
         held.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
