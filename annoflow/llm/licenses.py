@@ -61,7 +61,7 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
 
     Returns file, path, license, score, origin ('own', 'inherited' or null) and license_path.
     Own: the best of a file's lines (of its whole text too, for a licence file); ties go to the
-    smaller licence name. Several licence files of a directory: the best, then the smallest
+    smaller licence name. Several licence files of a directory: the best, then the smallest licence,
     path and file. Weights are (1 + ln tf) idf, with idf = 1 + ln((1 + N) / (1 + df)) over all N lines of
     all files. Null and empty texts have no licence of their own; a null path is the root's.
     Rows that repeat come back as often as they came. Other columns are not read.

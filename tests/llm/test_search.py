@@ -117,14 +117,14 @@ def test_licenses(spark):
         (5, "a/b/c/z.py", None),
         (6, "a/bb/z.py", ""),
         (7, None, "the of and under this"),
-        (8, "a/b/LICENSE", "Licensed under CC BY-NC 4.0. " + "and so on " * 400),
+        (8, "a/b/LICENSE", "Licensed under CC BY-NC 4.0.\n" + "and so on " * 400),
         (6, "a/bb/z.py", ""),
     ]
     files = spark.createDataFrame(rows, "file long, path string, text string").selectExpr("*", "1 AS license", "2 AS words", "3 AS part")
     got = {(r.file, r.license, r.origin, r.license_path) for r in licenses.license_scan(files).collect()}
     assert got == {
         (1, "Apache-2.0", "own", "LICENSE"), (2, "GPL-3.0", "own", "a/x.py"), (3, "Apache-2.0", "inherited", "LICENSE"),
-        (4, "MIT", "own", "a/b/COPYING.txt"), (5, "MIT", "inherited", "a/b/COPYING.txt"), (6, "Apache-2.0", "inherited", "LICENSE"),
+        (4, "MIT", "own", "a/b/COPYING.txt"), (5, "CC-BY-NC-4.0", "inherited", "a/b/LICENSE"), (6, "Apache-2.0", "inherited", "LICENSE"),
         (7, "Apache-2.0", "inherited", "LICENSE"), (8, "CC-BY-NC-4.0", "own", "a/b/LICENSE"),
     }
     assert licenses.license_scan(files).count() == len(rows)
