@@ -64,6 +64,18 @@ def _codes(hashes: Column, classes: Column) -> Column:
     return F.sort_array(F.transform(hashes, code))
 
 
+def _parity(hashes: Column, lane: int) -> Column:
+    """64 bits, each whether an odd number of the words of a lane have it: two lines differ in
+    no more bits than in words."""
+
+    def toggle(bits, h):
+        own = F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(1)) == lane
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+        return F.when(own, bits.bitwiseXOR(bit)).otherwise(bits)
+
+    return F.aggregate(hashes, F.lit(0).cast("long"), toggle)
+
+
 def _prefix(n: Column) -> Column:
     """Words of the order within which a similar line must share one."""
     return n - F.ceil(n * NUMERATOR / DENOMINATOR) + 1
@@ -96,6 +108,7 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     base = coded.where("n > 0").select(
         F.monotonically_increasing_id().alias("num"), "key", "doc_id", "line_no", F.unhex(F.md5(F.col("line").cast("binary"))).alias("lid"),
         "n", F.slice("codes", F.lit(1), _prefix(F.col("n")).cast("int")).alias("prefix"),
+        _parity(F.col("codes"), 0).alias("even"), _parity(F.col("codes"), 1).alias("odd"),
     )
     base = written(base, "lines")
     order = F.struct(F.col("doc_id"), F.col("num"))
@@ -132,7 +145,7 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ).select("code", "m", "at", F.col("num").alias("y"), "own")
     earlier = placed.select("code", F.col("n").alias("m"), F.col("pos").alias("at"), F.col("num").alias("x"), order.alias("other"))
     pairs = aimed.join(earlier, ["code", "m", "at"]).where(F.col("other") < F.col("own")).select("x", "y").distinct()
-    matches = done.union(_verified(written(pairs, "line-pairs"), base, rows))
+    matches = done.union(_verified(pairs, base, rows))
     similar = base.join(matches.select(F.col("y").alias("num")).distinct(), "num", "left_semi").select("key", "line_no")
 
     return written(again.union(similar).groupBy("key").agg(F.collect_set("line_no").alias("removed")), "removed-lines")
@@ -152,8 +165,18 @@ def without_lines(docs: DataFrame, removed: DataFrame, text_col: str = "text") -
 
 
 def _verified(pairs: DataFrame, base: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (x, y) of line numbers whose word sets have the similarity."""
-    pairs = written(pairs, "candidates")
+    """The pairs (x, y) of line numbers whose word sets have the similarity.
+
+    The bits in which two lines differ bound the words in which they do from below; what that
+    leaves is compared word by word.
+    """
+    bits = base.select("num", "n", "even", "odd")
+    sides = [bits.select(F.col("num").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("n", "even", "odd"))) for side in "xy"]
+    apart = sum(F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in ("even", "odd"))
+    # common words c >= (n + m) * 4 / 9, so at most (n + m) / 9 others
+    allowed = (F.col("x_n") + F.col("y_n")) * (DENOMINATOR - NUMERATOR)
+    close = pairs.join(sides[0], "x").join(sides[1], "y").where(apart * (NUMERATOR + DENOMINATOR) <= allowed)
+    pairs = written(close.select("x", "y"), "candidates")
     nums = pairs.select(F.col("x").alias("num")).union(pairs.select(F.col("y").alias("num"))).distinct()
     wanted = written(base.join(nums, "num", "left_semi").select("num", "key", "line_no"), "candidate-lines")
     texts = keep_matching(rows.select("key", "text"), wanted, "key").dropDuplicates(["key"])
