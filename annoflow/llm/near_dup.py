@@ -252,7 +252,20 @@ def _undecided(met: DataFrame, verdicts: DataFrame, similarity: float) -> DataFr
     judged = judged.withColumn("doubtful", ~F.col("similar") & F.coalesce(near, F.lit(False)))
     stats = judged.groupBy("bucket").agg(F.max("doubtful").alias("keep_all"), F.sum((~F.col("similar")).cast("int")).alias("others"))
     stats = stats.where("keep_all OR others > 1").select("bucket", "keep_all")
-    return judged.join(stats, "bucket").where("keep_all OR NOT similar").select("bucket", "num")
+    left = judged.join(stats, "bucket").where("keep_all OR NOT similar").select("bucket", "num")
+    # texts that are linked to one text, over two steps at most, need not be linked any more
+    named = left.join(_two_steps(verdicts.where("similar")), "num", "left").withColumn("label", F.coalesce("label", "num"))
+    mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return left.join(mixed.select("bucket"), "bucket")
+
+
+def _two_steps(links: DataFrame) -> DataFrame:
+    """num and label (the smallest text within two links) of each linked text."""
+    both = links.select(F.col("a").alias("num"), F.col("b").alias("other"))
+    both = both.union(both.select(F.col("other").alias("num"), F.col("num").alias("other")))
+    near = both.groupBy("num").agg(F.min(F.least("num", "other")).alias("label"))
+    further = both.join(near.select(F.col("num").alias("other"), "label"), "other").groupBy("num").agg(F.min("label").alias("further"))
+    return near.join(further, "num").select("num", F.least("label", "further").alias("label"))
 
 
 def near_classes(
