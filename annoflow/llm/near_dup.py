@@ -1,12 +1,12 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-A sketch takes the shingles (five words, labelled by how often they came before) with
+A sketch takes the shingles (runs of words, labelled by how often they came before) with
 the smallest hashes and keeps them in text order, so that it tells texts that
 have the same shingles in another order apart. Texts with an equal sketch share a
-bucket. A bucket's first text is aligned with all others of it; where that leaves
-texts of several classes in the bucket, they go to finer buckets, by further
-sketches, until none is left. No bucket is capped, and no pairs within a bucket
-are listed but those with its first text.
+bucket. All pairs of a bucket are decided: some texts of it, its pivots, are aligned with
+all others but those already linked to them, then leave it; where texts of several classes
+stay, twice as many pivots follow. Texts with most links are pivots first, so the middle of a large
+group soon links it. No bucket is capped, and nothing is dropped before it is compared.
 """
 
 from __future__ import annotations
@@ -19,14 +19,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from annoflow.llm.common import content_key, id_and_text, keep_matching, map_batches
 from annoflow.llm.components import components
-from annoflow.llm.hashing import BASE, LAST, STEP, mix, prefix_sums, run_hashes
+from annoflow.llm.hashing import BASE, STEP, mix, prefix_sums, run_hashes
 from annoflow.session import written
 
-#: Words of a shingle, sketches of a text, shingles of a sketch, and of a further one.
-SHINGLE, SKETCHES, PICKS, FURTHER, FURTHER_PICKS = 5, 40, 2, 2, 3
+#: Words of a shingle, sketches of a text, shingles of a sketch.
+SHINGLE, SKETCHES, PICKS = 5, 40, 2
+#: Bits of a text that tell by their parity how many words differ at least, in longs.
+PARITY = 16
 #: Least share of words that alignment leaves as they are.
 SIMILARITY = 0.8
 
+
 def word_hashes(text: str) -> np.ndarray:
     """A hash of each word, all words at once; blanks and control characters part words."""
     data = np.frombuffer(text.encode(), np.uint8)
@@ -38,9 +41,9 @@ def word_hashes(text: str) -> np.ndarray:
     return run_hashes(prefix_sums(data), starts, ends)
 
 
-def shingle_hashes(words: np.ndarray) -> np.ndarray:
-    """A hash of each run of five words; of all words, if fewer."""
-    width = min(SHINGLE, len(words))
+def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
+    """A hash of each run of ``size`` words; of all words, if fewer."""
+    width = min(size, len(words))
     if not width:
         return np.empty(0, np.uint64)
     out = np.full(len(words) - width + 1, np.uint64(width))
@@ -72,7 +75,8 @@ def sketches(shingles: np.ndarray, marks: np.ndarray, seeds: np.ndarray, picks:
     step = max(1, 500_000 // len(shingles))
     for at in range(0, len(seeds), step):
         part = seeds[at : at + step]
-        ranks = mix(marks[None, :] ^ part[:, None])
+        # marks are scattered already: a product by another odd number each orders them anew
+        ranks = marks[None, :] * (part[:, None] | np.uint64(1))
         rows = np.arange(len(part))
         places = np.empty((len(part), picks), int)
         for p in range(picks):
@@ -89,6 +93,19 @@ def sketches(shingles: np.ndarray, marks: np.ndarray, seeds: np.ndarray, picks:
 SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * BASE)
 
 
+def bucket_keys(words: np.ndarray) -> np.ndarray:
+    """The buckets of a text, given as word hashes."""
+    shingles = shingle_hashes(words, SHINGLE)
+    return np.unique(sketches(shingles, labelled(shingles), SEEDS, PICKS)) if len(shingles) else shingles
+
+
+def parity_bits(words: np.ndarray) -> np.ndarray:
+    """For each of 64 * ``PARITY`` classes of words, whether the text has an odd number of them: an edit
+    changes two of these bits at most."""
+    odd = np.bincount((words >> np.uint64(20)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 # --- alignment ----------------------------------------------------------------
 
 
@@ -183,38 +200,23 @@ def similar(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> list
 
 
 def _sketched(batch: pa.RecordBatch) -> pa.RecordBatch:
-    found, counts, sizes = [], [0], []
+    found, bits, counts, sizes = [], [], [0], []
     for value in batch.column(2):
         words = word_hashes(value.as_py())
-        shingles = shingle_hashes(words)
-        keys = sketches(shingles, labelled(shingles), SEEDS, PICKS) if len(shingles) else shingles
+        keys = bucket_keys(words)
         found.append(keys)
+        bits.append(parity_bits(words))
         counts.append(counts[-1] + len(keys))
         sizes.append(len(words))
     flat = np.concatenate(found).view(np.int64)
+    places = pa.array(np.arange(len(bits) + 1) * PARITY, pa.int32())
     return pa.RecordBatch.from_arrays(
-        [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(flat))],
-        names=["key", "doc_id", "n_words", "buckets"],
+        [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(flat)),
+         pa.ListArray.from_arrays(places, pa.array(np.concatenate(bits)))],
+        names=["key", "doc_id", "n_words", "buckets", "bits"],
     )
 
 
-def _finer(batch: pa.RecordBatch) -> pa.RecordBatch:
-    nums, sizes, keys = [], [], []
-    for row in batch.to_pylist():
-        words = word_hashes(row["text"])
-        shingles = shingle_hashes(words)
-        marks = labelled(shingles)
-        for bucket in row["buckets"]:
-            seeds = mix(np.arange(1, FURTHER + 1, dtype=np.uint64) * LAST + np.int64(bucket).view(np.uint64))
-            for key in sketches(shingles, marks, seeds, FURTHER_PICKS):
-                nums.append(row["num"])
-                sizes.append(len(words))
-                keys.append(int(key.view(np.int64)))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(nums, pa.int64()), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64())], names=["num", "n_words", "bucket"]
-    )
-
-
 def _aligned(similarity: float):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known: dict[int, np.ndarray] = {}
@@ -223,49 +225,22 @@ def _aligned(similarity: float):
             for num, text in zip(pairs[side], batch.column(batch.schema.get_field_index(f"text_{side}"))):
                 if num not in known:
                     known[num] = word_hashes(text.as_py())
-        found = measured([known[n] for n in pairs["a"]], [known[n] for n in pairs["b"]], similarity)
+        found = similar([known[n] for n in pairs["a"]], [known[n] for n in pairs["b"]], similarity)
         return pa.RecordBatch.from_arrays(
-            [pa.array(pairs["a"], pa.int64()), pa.array(pairs["b"], pa.int64()), pa.array([x for x, _ in found], pa.bool_()),
-             pa.array([e for _, e in found], pa.int32())], names=["a", "b", "similar", "edits"],
+            [pa.array(pairs["a"], pa.int64()), pa.array(pairs["b"], pa.int64()), pa.array(found, pa.bool_())],
+            names=["a", "b", "similar"],
         )
 
     return run
 
 
-def _undecided(met: DataFrame, verdicts: DataFrame, similarity: float) -> DataFrame:
-    """Rows of ``met`` (bucket, num, n_words, first) that must be compared further.
-
-    A text like the bucket's first is linked and can go, unless one unlike the first may still be
-    like it: by the triangle inequality, edits to a text are at least those
-    from the first to the one less those from the first to the other.
-    """
-    seen = verdicts.select(F.col("a").alias("_a"), F.col("b").alias("num"), "similar", "edits")
-    judged = (
-        met.withColumn("_a", F.col("first.num")).join(seen, ["_a", "num"], "left")
-        .withColumn("similar", F.coalesce("similar", F.lit(False)))
-        .withColumn("edits", F.coalesce("edits", F.abs(F.col("n_words") - F.col("first.n_words"))))
-        .select("bucket", "num", "n_words", "first", "similar", "edits")
-    )
-    linked = judged.where("similar").groupBy("bucket").agg(F.max("edits").alias("reach"), F.max("n_words").alias("longest"))
-    judged = judged.join(linked, "bucket", "left")
-    near = (F.col("edits") - F.col("reach")) <= (1 - similarity) * F.greatest("n_words", "longest") + 1e-6
-    judged = judged.withColumn("doubtful", ~F.col("similar") & F.coalesce(near, F.lit(False)))
-    stats = judged.groupBy("bucket").agg(F.max("doubtful").alias("keep_all"), F.sum((~F.col("similar")).cast("int")).alias("others"))
-    stats = stats.where("keep_all OR others > 1").select("bucket", "keep_all")
-    left = judged.join(stats, "bucket").where("keep_all OR NOT similar").select("bucket", "num")
-    # texts that are linked to one text, over two steps at most, need not be linked any more
-    named = left.join(_two_steps(verdicts.where("similar")), "num", "left").withColumn("label", F.coalesce("label", "num"))
-    mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return left.join(mixed.select("bucket"), "bucket")
-
-
 def _two_steps(links: DataFrame) -> DataFrame:
-    """num and label (the smallest text within two links) of each linked text."""
+    """num, label (the smallest text within two links) and links of each linked text."""
     both = links.select(F.col("a").alias("num"), F.col("b").alias("other"))
     both = both.union(both.select(F.col("other").alias("num"), F.col("num").alias("other")))
-    near = both.groupBy("num").agg(F.min(F.least("num", "other")).alias("label"))
+    near = both.groupBy("num").agg(F.min(F.least("num", "other")).alias("label"), F.count("*").alias("links"))
     further = both.join(near.select(F.col("num").alias("other"), "label"), "other").groupBy("num").agg(F.min("label").alias("further"))
-    return near.join(further, "num").select("num", F.least("label", "further").alias("label"))
+    return near.join(further, "num").select("num", F.least("label", "further").alias("label"), "links")
 
 
 def near_classes(
@@ -281,14 +256,13 @@ def near_classes(
     repeat ID and text come back as often as they came, one of them kept. Other
     columns are not read.
 
-    Texts whose 5-word shingles overlap by 0.8 share one of the 40 first sketches but for a
-    chance below 1e-15; at an overlap of 0.42, which scattered edits to a fifth of the words leave,
-    the chance to miss a link is below 0.001.
+    Texts whose 5-word shingles overlap by 0.8 share one of the 40 sketches but for a chance below 1e-15.
+    All texts that share a sketch are decided; later rounds lose none.
     """
     rows = id_and_text(docs, id_col, text_col).select(
         content_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
     )
-    schema = "key binary, doc_id long, n_words int, buckets array<long>, content binary"
+    schema = "key binary, doc_id long, n_words int, buckets array<long>, bits array<long>, content binary"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = _sketched(batch)
@@ -299,32 +273,47 @@ def near_classes(
 
     copies = base.groupBy("content").agg(F.min("num").alias("num"), F.count("*").alias("copies"))
     firsts = base.join(copies.select("num"), "num", "left_semi")
-    placed = firsts.select("num", "n_words", F.explode("buckets").alias("bucket"))
+    placed = firsts.select("num", F.explode("buckets").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     placed = written(placed.join(shared, "bucket"), "buckets")
-    keys = firsts.select("num", "key").join(placed.select("num").distinct(), "num")
+    keys = firsts.select("num", "key", "n_words", "bits").join(placed.select("num").distinct(), "num")
     texts = keep_matching(rows.select("key", "text"), keys, "key").join(keys, "key").dropDuplicates(["num"])
-    texts = written(texts.select("num", "text"), "bucket-texts")
+    texts = written(texts.select("num", "text", "n_words", "bits"), "bucket-texts")
+    sides = [texts.select(F.col("num").alias(x), F.col("n_words").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab"]
+    apart = sum(F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(PARITY))
+    # edits allowed, as ``allowed`` has them; each changes the length by one and the bits by two at most
+    most = F.floor((1 - similarity) * F.greatest("n_a", "n_b") + 1e-9)
+    possible = (F.abs(F.col("n_a") - F.col("n_b")) <= most) & (apart <= 2 * most)
 
     verdicts: DataFrame | None = None
+    labelled_rows = placed.withColumns({"label": F.col("num"), "links": F.lit(0).cast("long")})
+    pivots_each = 1
     while True:
-        heads = placed.groupBy("bucket").agg(F.min(F.struct("num", "n_words")).alias("first"), F.count("*").alias("n")).where("n > 1")
-        met = written(placed.join(heads.drop("n"), "bucket").where("num != first.num"), "bucket-members")
-        if met.isEmpty():
+        # one pivot of each part of a bucket; parts are dealt anew each round
+        part = F.pmod(F.xxhash64("num", F.lit(pivots_each)), F.lit(pivots_each))
+        pivots = labelled_rows.groupBy("bucket", part.alias("part")).agg(F.min(F.struct((-F.col("links")).alias("rank"), "num", "label")).alias("pivot"))
+        pivots = written(pivots.select("bucket", F.col("pivot.num").alias("p"), F.col("pivot.label").alias("p_label")), "pivots")
+        if pivots.isEmpty():
             break
-        short, long = F.least("n_words", "first.n_words"), F.greatest("n_words", "first.n_words")
-        pairs = met.where(short >= similarity * long - 1e-6).select(F.col("first.num").alias("a"), F.col("num").alias("b")).distinct()
+        met = labelled_rows.join(pivots, "bucket").where("num != p AND label != p_label")
+        pairs = met.select(F.least("num", "p").alias("a"), F.greatest("num", "p").alias("b")).distinct()
         if verdicts is not None:
             pairs = pairs.join(verdicts, ["a", "b"], "left_anti")
+        pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(possible).select("a", "b")
         with_texts = (
             pairs.join(texts.select(F.col("num").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("num").alias("b"), F.col("text").alias("text_b")), "b")
         )
-        new = written(map_batches(with_texts, _aligned(similarity), "a long, b long, similar boolean, edits int"), "alignments")
+        new = written(map_batches(with_texts, _aligned(similarity), "a long, b long, similar boolean"), "alignments")
         verdicts = new if verdicts is None else verdicts.union(new)
-        lists = _undecided(met, verdicts, similarity).groupBy("num").agg(F.collect_list("bucket").alias("buckets"))
-        finer = map_batches(texts.join(lists, "num").select("num", "text", "buckets"), _finer, "num long, n_words int, bucket long")
-        placed = written(finer, "finer-buckets")
+        # a pivot is decided with all of its bucket; a bucket of texts linked over two steps needs no more
+        left = labelled_rows.select("bucket", "num").join(pivots.select("bucket", F.col("p").alias("num")), ["bucket", "num"], "left_anti")
+        named = left.join(_two_steps(verdicts.where("similar")), "num", "left").withColumns(
+            {"label": F.coalesce("label", "num"), "links": F.coalesce("links", F.lit(0))}
+        )
+        mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        labelled_rows = written(named.join(mixed.select("bucket"), "bucket"), "undecided")
+        pivots_each *= 2
 
     classes = None
     if verdicts is not None:

@@ -253,6 +253,28 @@ def test_order_counts():
     assert len(keys[0] & keys[1]) < 0.75 * near_dup.SKETCHES
 
 
+def edited(draw, words, places):
+    copy = list(words)
+    for i in places:
+        copy[i] = "other%d" % draw.randrange(10**9)
+    return " ".join(copy)
+
+
+def unlike(draw, n):
+    return ["w%d" % draw.randrange(10**9) for _ in range(n)]
+
+
+def test_near_classes_of_one_text_with_many_copies(make_docs):
+    draw = random.Random(12)
+    base, n = unlike(draw, 200), 300
+    rows = [(i, edited(draw, base, draw.sample(range(200), draw.randrange(20, 31)))) for i in range(n)]
+    rows[n // 2] = (n // 2, " ".join(base))
+    passage = unlike(draw, 60)
+    rows += [(n + i, " ".join(passage + unlike(draw, 40))) for i in range(40)]
+    got = {r.doc_id: r.class_id for r in near_dup.near_classes(make_docs(rows)).collect()}
+    assert got == {i: 0 if i < n else i for i in range(n + 40)}
+
+
 def test_near_classes_of_nothing_and_of_repeated_rows(make_docs):
     assert near_dup.near_classes(make_docs([])).count() == 0
     got = near_dup.near_classes(make_docs([(3, "same text here"), (3, "same text here"), (None, "same text here")])).collect()
