@@ -275,6 +275,23 @@ def test_near_classes_of_one_text_with_many_copies(make_docs):
     assert got == {i: 0 if i < n else i for i in range(n + 40)}
 
 
+def test_near_classes_at_the_limit(make_docs):
+    draw = random.Random(13)
+    rows = []
+    for n in (5, 6, 7, 8, 9, 10, 12, 20, 24, 30, 31, 60, 100, 101, 300):
+        for share in (0.1, 0.15, 0.2):
+            words, edits = unlike(draw, n), int(share * n + 1e-9) or 1
+            rows += [" ".join(words), edited(draw, words, draw.sample(range(n), edits))]
+        words = unlike(draw, n)
+        rows += [" ".join(words), edited(draw, words, range(2, n, 5))]
+        words = unlike(draw, n)
+        rows += [" ".join(words), " ".join(w for i, w in enumerate(words) if i % 5 != 2 or i + 3 > n)]
+    got = {r.doc_id: r.class_id for r in near_dup.near_classes(make_docs(list(enumerate(rows)))).collect()}
+    want = {i: i - i % 2 if word_edits(rows[i - i % 2].split(), rows[i - i % 2 + 1].split()) <= near_dup.allowed(len(rows[i - i % 2].split()), len(rows[i - i % 2 + 1].split()), 0.8) else i for i in range(len(rows))}
+    assert got == want
+    assert sum(want[i] == i for i in want) < 0.6 * len(want)
+
+
 def test_near_classes_of_nothing_and_of_repeated_rows(make_docs):
     assert near_dup.near_classes(make_docs([])).count() == 0
     got = near_dup.near_classes(make_docs([(3, "same text here"), (3, "same text here"), (None, "same text here")])).collect()
