@@ -8,6 +8,7 @@ insertion. Chunks with equal digests are equal; the first one stays.
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,6 @@ from annoflow.session import written
 #: Chunk sizes in bytes: shortest, longest; a cut comes every 32 bytes on average
 #: beyond the shortest.
 SHORTEST, LONGEST, CUT_BITS = 24, 96, 5
-#: A run of repeated chunks shorter than this many bytes stays.
-LEAST_RUN = 96
 
 
 def _gear() -> np.ndarray:
@@ -89,7 +88,7 @@ def _chunks(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def later_runs(lengths: list[int], later: dict[int, int | None], least: int = LEAST_RUN) -> list[tuple[int, int, list]]:
+def later_runs(lengths: list[int], later: dict[int, int | None], least: int = 0) -> list[tuple[int, int, list]]:
     """(start, end, first documents) of the runs of neighbouring chunks in ``later``
     that are ``least`` bytes long or more."""
     runs, at, begin, firsts = [], 0, None, []
@@ -105,11 +104,11 @@ def later_runs(lengths: list[int], later: dict[int, int | None], least: int = LE
     return runs
 
 
-def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _cut(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
     out = []
     for row in batch.to_pylist():
         data = row["text"].encode()
-        runs = later_runs(row["lengths"], {x["place"]: x["first_doc"] for x in row["later"]})
+        runs = later_runs(row["lengths"], {x["place"]: x["first_doc"] for x in row["later"]}, least)
         kept, at = hashlib.sha256(), 0
         for begin, end, _ in runs:
             kept.update(data[at:begin])
@@ -127,9 +126,9 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Remove runs of ``LEAST_RUN`` bytes or more that consist of chunks seen before,
-    in the order of doc_id and place.
+def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_run: int = 0) -> DataFrame:
+    """Remove all chunks seen before, in the order of doc_id and place; with ``least_run``, only
+    where a run of them has so many bytes or more.
 
     Returns doc_id, n_bytes, n_chunks, n_removed, n_spans, kept_sha256 (of the
     bytes that stay), first_docs (where removed chunks come first, sorted) and spans
@@ -166,7 +165,7 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     affected = written(single.select("num", "key", "lengths").join(by_doc, "num"), "chunk-repeats")
     texts = keep_matching(rows.select("key", "text"), affected, "key").dropDuplicates(["key"])
     cut = map_batches(
-        texts.join(affected, "key").select("key", "text", "lengths", "later"), _cut,
+        texts.join(affected, "key").select("key", "text", "lengths", "later"), partial(_cut, least=least_run),
         "key binary, n_removed long, n_spans long, kept_sha256 string, first_docs array<long>, spans array<struct<begin:long,end:long>>",
     )
     return base.join(cut, "key", "left").select(

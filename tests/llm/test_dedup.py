@@ -144,6 +144,22 @@ def test_passages_of_fifty_words_are_caught_and_clean_texts_left(make_docs):
     assert all(got[i].n_removed > 0 and got[i].first_docs == [1] for i in range(3, 20, 2))
 
 
+def test_short_copies_and_single_chunks_go(make_docs):
+    draw = random.Random(14)
+    data = prose(draw, 300)
+    ends = chunk_dedup.chunk_ends(data.encode())
+    i = next(i for i, (a, b) in enumerate(zip(ends, ends[1:])) if i > 3 and b - a < 60)
+    begin, end = ends[i], ends[i + 1]
+    # both neighbours of the chunk are edited, before the bytes that its cuts depend on
+    edited = data[: begin - 20] + "#" + data[begin - 19 : end + 18] + "#" + data[end + 19 :]
+    rows = [(1, "a short text"), (2, "a short text"), (3, "a short text"), (4, data), (5, edited)]
+    got = {r.doc_id: r for r in chunk_dedup.chunk_dedup(make_docs(rows)).collect()}
+    assert [got[i].n_removed for i in (1, 2, 3, 4)] == [0, 12, 12, 0]
+    assert (begin, end) in {(s.begin, s.end) for s in got[5].spans}
+    kept = {r.doc_id: r for r in chunk_dedup.chunk_dedup(make_docs(rows), least_run=96).collect()}
+    assert kept[2].n_removed == 0 and (begin, end) not in {(s.begin, s.end) for s in kept[5].spans}
+
+
 # --- lines ----------------------------------------------------------------------
 
 
