@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from annoflow.llm.common import join_counted
+from annoflow.llm.common import content_key, join_counted
 from annoflow.llm.decontaminate import words_of
 from annoflow.session import written
 
@@ -64,16 +64,19 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
     smaller licence name. Several licence files of a directory: the best, then the smallest licence,
     path and file. Weights are (1 + ln tf) idf, with idf = 1 + ln((1 + N) / (1 + df)) over all N lines of
     all files. Null and empty texts have no licence of their own; a null path is the root's.
-    Rows that repeat come back as often as they came. Other columns are not read.
+    Rows that repeat come back as often as they came; rows of one ID and path with other texts, and those
+    without an ID, each have the licence of their own text. Other columns are not read.
     """
     spark = files.sparkSession
     files = files.select(
         "file", F.coalesce("path", F.lit("")).alias("path"), F.coalesce("text", F.lit("")).alias("text")
     )
+    # names a row by all it holds: IDs may be null or repeat
+    files = files.withColumn("key", content_key(F.col("file"), F.concat_ws("\x00", "path", "text")))
     terms = template_terms(spark, templates).collect()  # the templates are part of the program
     vocabulary = sorted({t["word"] for t in terms})
     known = F.array(*[F.lit(w) for w in vocabulary])
-    lines = files.select("file", "path", F.explode(F.split("text", "\n")).alias("line")).withColumn("words", words_of(F.col("line")))
+    lines = files.select("key", "file", "path", F.explode(F.split("text", "\n")).alias("line")).withColumn("words", words_of(F.col("line")))
     present = lines.select(F.array_intersect("words", known).alias("words"))
     df = {r["word"]: r["df"] for r in present.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df")).collect()}
     total = files.select(F.sum(F.size(F.split("text", "\n")))).first()[0] or 0
@@ -92,9 +95,9 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
 
     name = F.element_at(F.split("path", "/"), -1)
     is_license = name.rlike(LICENSE_FILE)
-    whole = files.where(is_license).select("file", "path", words_of(F.col("text")).alias("words"))
-    parts = lines.select("file", "path", "words").union(whole).where(hopeful)
-    parts = written(parts.select(F.monotonically_increasing_id().alias("part"), "file", "path", F.filter("words", lambda w: F.array_contains(known, w)).alias("words")), "license-parts")
+    whole = files.where(is_license).select("key", "file", "path", words_of(F.col("text")).alias("words"))
+    parts = lines.select("key", "file", "path", "words").union(whole).where(hopeful)
+    parts = written(parts.select(F.monotonically_increasing_id().alias("part"), "key", "file", "path", F.filter("words", lambda w: F.array_contains(known, w)).alias("words")), "license-parts")
     counted = parts.select("part", F.explode("words").alias("word")).groupBy("part", "word").agg(F.count("*").alias("tf"))
     vectors = written(counted.join(F.broadcast(idf), "word").select("part", "word", _weight(F.col("tf"), F.col("idf")).alias("weight")), "license-vectors")
     lengths = vectors.groupBy("part").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("length"))
@@ -102,7 +105,7 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
     dots = vectors.join(F.broadcast(unit), "word").groupBy("part", "template", "license").agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
     scored = dots.join(lengths, "part").select("part", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score")).where(F.col("score") >= threshold)
     own = (
-        scored.join(parts.select("part", "file", "path"), "part").groupBy("file", "path")
+        scored.join(parts.select("part", "key", "file", "path"), "part").groupBy("key", "file", "path")
         .agg(F.max_by("license", F.struct("score", _reversed("license"))).alias("license"), F.max("score").alias("score"))
     )
     own = written(own, "own-licenses")
@@ -117,8 +120,8 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
     met = join_counted(above, declared.withColumnRenamed("directory", "up"), "up")
     nearest = written(met.groupBy("directory").agg(F.max_by("best", F.struct("depth")).alias("nearest")), "nearest-licenses")
 
-    placed = files.select("file", "path", parent.alias("directory"))
-    with_own = join_counted(placed, own.dropDuplicates(["file", "path"]), ["file", "path"], "left")
+    placed = files.select("key", "file", "path", parent.alias("directory"))
+    with_own = join_counted(placed, own.drop("file", "path").dropDuplicates(["key"]), "key", "left")
     everything = join_counted(with_own, nearest, "directory", "left")
     return everything.select(
         "file", "path", F.coalesce("license", "nearest.license").alias("license"),

@@ -131,6 +131,15 @@ def test_licenses(spark):
     assert licenses.license_scan(files.limit(0)).count() == 0
 
 
+def test_licenses_go_by_row(spark):
+    mit, cc = "Released under the MIT License.", "Licensed under CC BY-NC 4.0."
+    rows = [(None, "a/x.py", mit), (None, "a/x.py", "nothing"), (1, "b/y.py", mit), (1, "b/y.py", cc), (1, "b/y.py", cc)]
+    got = licenses.license_scan(spark.createDataFrame(rows, "file long, path string, text string")).collect()
+    assert sorted((r.path, str(r.license)) for r in got) == [
+        ("a/x.py", "MIT"), ("a/x.py", "None"), ("b/y.py", "CC-BY-NC-4.0"), ("b/y.py", "CC-BY-NC-4.0"), ("b/y.py", "MIT"),
+    ]
+
+
 @pytest.fixture(scope="module")
 def vectors():
     draw = np.random.default_rng(3)
