@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from annoflow.llm import decontaminate, line_dedup, near_dup, pieces, quality
 from annoflow.llm.common import keep_matching, one_row_each, table, with_key
+from annoflow.session import written
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -61,6 +62,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -51,3 +51,15 @@ def test_pipeline(spark):
     final = corpus_pipeline.run(spark, SF).toPandas()
     assert set(final.doc_id) == {r.doc_id for r in kept.collect()}
     assert final.decoded_equal.all()
+
+
+def test_pipeline_writes_what_stages_read(spark, monkeypatch):
+    read = []
+
+    def stage(spark, docs, sf_dir):
+        read.append({name.rsplit("/", 2)[-2].rsplit("-", 1)[0] for name in docs.inputFiles()})
+        return docs.where("doc_id % 7 != 0")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage), ("two", stage), ("three", stage)])
+    corpus_pipeline.run(spark, SF)
+    assert read[1:] == [{"stage-one"}, {"stage-two"}]
