@@ -2,12 +2,15 @@
 
 Every line of a file, and a licence file as a whole, becomes a sparse TF-IDF
 vector over the templates' words; words outside them weigh nothing. Its cosine to each
-template names its licence. A file without one takes that of the licence file in its
+template names its licence. So do its paragraphs, its leading comment and a licence file as a whole, by
+the texts of licences and their standard headers. A file without one takes that of the licence file in its
 nearest directory upwards.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from annoflow.llm.common import content_key, join_counted
@@ -33,6 +36,44 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software under the MIT License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+_GNU = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} General Public License"
+    " as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+)
+_GNU_REST = (
+    " This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of"
+    " MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} General Public License for more details. You should have"
+    " received a copy of the GNU {name} General Public License along with this {what}. If not, see <https://www.gnu.org/licenses/>."
+)
+_APACHE = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+    " You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+)
+_APACHE_REST = (
+    ' Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,'
+    " WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing"
+    " permissions and limitations under the License."
+)
+_MPL = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with"
+    " this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+)
+
+
+def _blocks() -> tuple[tuple[str, str], ...]:
+    out = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+    for licence, what, name, version in (
+        ("AGPL-3.0", "program", "Affero", "3"), ("GPL-2.0", "program", "", "2"), ("GPL-3.0", "program", "", "3"),
+        ("LGPL-2.1", "library", "Lesser", "2.1"), ("LGPL-3.0", "library", "Lesser", "3"), ("LGPL-3.0", "program", "Lesser", "3"),
+    ):
+        out += [(licence, text.format(what=what, name=name, version=version)) for text in (_GNU, _GNU + _GNU_REST)]
+    return (*out, ("Apache-2.0", _APACHE), ("Apache-2.0", _APACHE + _APACHE_REST), ("MPL-2.0", _MPL))
+
+
+#: Fixed texts: whole licences and their standard headers, held against blocks of lines.
+BLOCKS = _blocks()
+#: Words of which every one of these texts has one.
+LEGAL = r"(?i)licen[cs]|copyright|redistribut|permission"
 #: Names of licence files, in any letter case, with any extension.
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 #: Least cosine that counts as a match.
@@ -50,6 +91,40 @@ def _weight(tf: Column, idf: Column) -> Column:
     return (1 + F.log(tf)) * idf
 
 
+def block_shares(spark: SparkSession, templates=BLOCKS) -> DataFrame:
+    """template, license, word, idf and share (of the unit vector) of block texts; words are weighed by how
+    few of these texts have them, so that no corpus changes a score."""
+    terms = written(template_terms(spark, templates), "block-terms")
+    df = terms.groupBy("word").agg(F.count("*").alias("df"))
+    idf = df.select("word", (1 + F.log(F.lit(1.0 + len(templates)) / (1.0 + F.col("df")))).alias("idf"))
+    weighted = terms.join(F.broadcast(idf), "word").withColumn("weight", _weight(F.col("tf"), F.col("idf")))
+    norms = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
+    return written(weighted.join(F.broadcast(norms), "template").select("template", "license", "word", "idf", (F.col("weight") / F.col("norm")).alias("share")), "blocks")
+
+
+def block_scores(files: DataFrame, is_license: Column, threshold: float) -> DataFrame:
+    """key, file, path, license and score of what ``BLOCKS`` say of a file's blocks: its paragraphs, parted by
+    lines without letters and digits, its leading comment, and all of it if it is a licence file."""
+    shares = block_shares(files.sparkSession)
+    text = F.col("text")
+    lines = F.split(text, "\n")
+    mark = r"^\s*(#|//|/?\*|--|;|%|<!--|\"\"\"|dnl\b)"
+    code = F.array_position(F.transform(lines, lambda x: ~x.rlike(mark)), True).cast("int")
+    marked = F.array_join(F.slice(lines, F.lit(1), F.when(code > 0, code - 1).otherwise(F.size(lines))), "\n")
+    leading = F.when(F.ltrim(text).startswith("/*"), F.substring_index(text, "*/", 1)).otherwise(marked)
+    paragraphs = F.split(text, r"\n[^\p{L}\p{N}\n]*(?=\n)")
+    blocks = F.array_distinct(F.concat(paragraphs, F.array(leading), F.when(is_license, F.array(text)).otherwise(F.array().cast("array<string>"))))
+    found = files.where(text.rlike(LEGAL)).select("key", "file", "path", F.explode(blocks).alias("block")).where(F.col("block").rlike(LEGAL))
+    parts = written(found.select(F.monotonically_increasing_id().alias("part"), "key", "file", "path", words_of(F.col("block")).alias("words")), "license-blocks")
+    counted = parts.select("part", F.explode("words").alias("word")).groupBy("part", "word").agg(F.count("*").alias("tf"))
+    idf = shares.select("word", "idf").dropDuplicates(["word"])
+    vectors = written(counted.join(F.broadcast(idf), "word").select("part", "word", _weight(F.col("tf"), F.col("idf")).alias("weight")), "block-vectors")
+    lengths = vectors.groupBy("part").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("length"))
+    dots = vectors.join(F.broadcast(shares.drop("idf")), "word").groupBy("part", "template", "license").agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
+    scored = dots.join(lengths, "part").select("part", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score"))
+    return scored.where(F.col("score") >= threshold).join(parts.drop("words"), "part").select("key", "file", "path", "license", "score")
+
+
 def ancestors(path: Column) -> Column:
     """Directories above a path, the root ('') first."""
     parts = F.split(path, "/")
@@ -61,7 +136,7 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
 
     Returns file, path, license, score, origin ('own', 'inherited' or null) and license_path.
     Own: the best of a file's lines (of its whole text too, for a licence file); ties go to the
-    smaller licence name. Several licence files of a directory: the best, then the smallest licence,
+    smaller licence name. With the usual templates, ``BLOCKS`` are held against blocks of lines too. Several licence files of a directory: the best, then the smallest licence,
     path and file. Weights are (1 + ln tf) idf, with idf = 1 + ln((1 + N) / (1 + df)) over all N lines of
     all files. Null and empty texts have no licence of their own; a null path is the root's.
     Rows that repeat come back as often as they came; rows of one ID and path with other texts, and those
@@ -104,8 +179,11 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
     # the templates' words, a table as small as the program text
     dots = vectors.join(F.broadcast(unit), "word").groupBy("part", "template", "license").agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
     scored = dots.join(lengths, "part").select("part", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score")).where(F.col("score") >= threshold)
+    by_line = scored.join(parts.select("part", "key", "file", "path"), "part").select("key", "file", "path", "license", "score")
+    if templates is TEMPLATES:
+        by_line = by_line.union(block_scores(files, is_license, threshold))
     own = (
-        scored.join(parts.select("part", "key", "file", "path"), "part").groupBy("key", "file", "path")
+        by_line.groupBy("key", "file", "path")
         .agg(F.max_by("license", F.struct("score", _reversed("license"))).alias("license"), F.max("score").alias("score"))
     )
     own = written(own, "own-licenses")

@@ -131,6 +131,23 @@ def test_licenses(spark):
     assert licenses.license_scan(files.limit(0)).count() == 0
 
 
+def test_license_bodies_and_wrapped_headers(spark):
+    texts = {n: open(f"{licenses.__file__.rsplit('/', 1)[0]}/license_texts/{n}.txt").read() for n in ("LGPL-3.0", "GPL-3.0", "GPL-2.0", "BSD-3-Clause", "BSD-2-Clause", "MIT", "ISC", "Apache-2.0")}
+    header = """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+int main() { return 0; }
+"""
+    rows = [(i, f"{n}/LICENSE", "Copyright (c) 2019 Some One\n\n" + t) for i, (n, t) in enumerate(texts.items())]
+    rows += [(50, "x/m.c", header), (51, "x/n.c", "int licensed(int permission) { return permission; }"), (52, "MIT/a.py", "code")]
+    got = {r.file: (r.license, r.origin) for r in licenses.license_scan(spark.createDataFrame(rows, "file long, path string, text string")).collect()}
+    want = {i: (n, "own") for i, n in enumerate(texts)}
+    assert got == want | {50: ("GPL-3.0", "own"), 51: (None, None), 52: ("MIT", "inherited")}
+
+
 def test_licenses_go_by_row(spark):
     mit, cc = "Released under the MIT License.", "Licensed under CC BY-NC 4.0."
     rows = [(None, "a/x.py", mit), (None, "a/x.py", "nothing"), (1, "b/y.py", mit), (1, "b/y.py", cc), (1, "b/y.py", cc)]
