@@ -37,22 +37,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return posixpath.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None, keep: bool = False) -> DataFrame:
     """Write ``df`` to scratch space as Parquet and read it back.
 
     Used where a later step must see exactly the rows an earlier step saw
     (sampled range bounds, user code that may not repeat itself), also after an
-    executor is lost.
+    executor is lost. Inside ``temporary_tables`` the table goes at the end of the block; with
+    ``keep`` it outlives the block, as a block's result has to, and goes with the next one around it.
     """
     path = scratch_path(df.sparkSession, name)
-    held = _TEMPORARY.get()
-    if held is not None:
-        held.append(path)
+    blocks = _TEMPORARY.get()
+    if keep:
+        blocks = blocks[:-1]
+    if blocks:
+        blocks[-1].append(path)
     df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_TEMPORARY: ContextVar[list[str] | None] = ContextVar("temporary tables", default=None)
+#: The tables to delete of each block that is open, the innermost last.
+_TEMPORARY: ContextVar[tuple[list[str], ...]] = ContextVar("temporary tables", default=())
 
 
 @contextmanager
@@ -60,7 +64,7 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Delete at the end what ``written`` writes in between, through the Hadoop
     file system that holds it."""
     held: list[str] = []
-    token = _TEMPORARY.set(held)
+    token = _TEMPORARY.set((*_TEMPORARY.get(), held))
     try:
         yield
     finally:

@@ -23,12 +23,12 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.SQL))
 def test_query_matches_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = catalog.QUERIES[name](spark, SF)
     names = sorted(df.columns)
     got = [tuple(r[c] for c in names) for r in df.collect()]
-    want = duck.sql(entry.oracle_sql()[name])
+    want = duck.sql(catalog.SQL[name])
     assert sorted(want.columns) == names
     places = [want.columns.index(c) for c in names]
     key = lambda row: tuple((v is None, str(v)) for v in row)

@@ -98,7 +98,7 @@ def test_type_property_replaces(spark):
 
 
 def test_truthy(spark):
-    values = [("true", True), (" Yes\t", False), (" YES ", True), ("on", True), ("y", False), (None, False)]
+    values = [("true", True), (" Yes\t", True), (" YES ", True), ("on", True), ("y", False), (None, False)]
     df = spark.createDataFrame([(v,) for v, _ in values], "v string")
     assert [r[0] for r in df.select(truthy(F.col("v"))).collect()] == [w for _, w in values]
 

@@ -1,3 +1,4 @@
+import os
 from types import SimpleNamespace
 
 from annoflow import session
@@ -9,7 +10,7 @@ class _Conf(dict):
 
 
 def fake(conf, checkpoint=None, application="app"):
-    context = SimpleNamespace(getCheckpointDir=lambda: checkpoint, applicationId=application)
+    context = SimpleNamespace(getCheckpointDir=lambda: checkpoint, applicationId=application, master="local[2]")
     return SimpleNamespace(conf=_Conf(conf), sparkContext=context)
 
 
@@ -21,8 +22,6 @@ def test_scratch_follows_the_session():
 
 
 def test_temporary_tables_are_removed(spark):
-    import os
-
     with session.temporary_tables(spark):
         kept = session.written(spark.range(3), "t")
         place = kept.inputFiles()[0].removeprefix("file://")
@@ -30,3 +29,13 @@ def test_temporary_tables_are_removed(spark):
     assert not os.path.exists(os.path.dirname(place))
     outside = session.written(spark.range(2), "t")
     assert outside.count() == 2
+
+
+def test_results_outlive_their_block(spark):
+    with session.temporary_tables(spark):
+        with session.temporary_tables(spark):
+            lost = session.written(spark.range(3), "t")
+            kept = session.written(lost, "t", keep=True)
+            places = [f.inputFiles()[0].removeprefix("file://") for f in (lost, kept)]
+        assert [os.path.exists(p) for p in places] == [False, True] and kept.count() == 3
+    assert not os.path.exists(places[1])
