@@ -6,7 +6,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annoflow.llm import chunk_dedup, decontaminate, graph_search, licenses, line_dedup, near_dup, pieces, quality, suffix_dedup, token_counts
+from annoflow.llm import (
+    chunk_dedup, decontaminate, exact_dedup, fill_middle, graph_search, licenses, line_dedup, near_dup, pieces, quality, suffix_dedup,
+    token_counts, whitening,
+)
 from annoflow.llm.common import Query, table, with_key
 
 QUERIES: dict[str, Query] = {}
@@ -79,3 +82,23 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query(fill_middle.FILL_SQL)
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    output, before = F.col("output"), fill_middle.restored(F.col("form"), F.col("output"))
+    return done.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(output.cast("binary"), 256).alias("output_sha256"), F.sha2(before.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+@query(exact_dedup.EXACT_SQL)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))

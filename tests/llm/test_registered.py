@@ -1,5 +1,7 @@
 """Registered queries against their SQL, and the pipeline against the operators."""
 
+from collections import Counter
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -21,12 +23,11 @@ def test_agrees_with_sql(spark, name):
     con = duckdb.connect()
     for table in ("documents", "benchmark", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
-    want = con.sql(SQL[name]).df()
-    got = QUERIES[name](spark, SF).toPandas()
-    columns = sorted(want.columns)
-    assert columns == sorted(got.columns)
-    plain = [frame[columns].astype(str).sort_values(columns).to_csv(index=False) for frame in (got, want)]
-    assert plain[0] == plain[1]
+    want = con.sql(SQL[name])
+    got = QUERIES[name](spark, SF)
+    assert sorted(want.columns) == sorted(got.columns)
+    rows = want.select(", ".join(got.columns)).fetchall()
+    assert Counter(map(repr, map(tuple, got.collect()))) == Counter(map(repr, rows))
 
 
 def test_pipeline(spark):
