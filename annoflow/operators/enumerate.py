@@ -151,18 +151,25 @@ def record_ids(
     Leaves out the archive's own header (position 0), empty bodies, and what the
     status and type filters reject. Positions were given before any filter.
     """
+    wanted = wanted_records(include_status, exclude_status, mime_types)
+    return records.filter(wanted).select(F.col("url").alias("doc_id"), record_attrs(with_archive).alias("id_attrs"))
+
+
+def record_attrs(with_archive: bool) -> Column:
+    """Where a record stands, as the attributes of its ID."""
     attrs = [
         F.lit(RECORD_OFFSET), F.col("offset").cast("string"),
         F.lit(RECORD_LENGTH), F.col("length").cast("string"),
         F.lit(RECORD_POSITION), F.col("position").cast("string"),
     ]
-    if with_archive:
-        attrs += [F.lit("url"), F.col("archive")]
+    return F.create_map(*attrs, *([F.lit("url"), F.col("archive")] if with_archive else []))
+
+
+def wanted_records(include_status: str | None, exclude_status: str | None, mime_types: str | None) -> Column:
     return (
-        records.filter(F.col("position") > 0)
-        .filter(F.col("body_length") > 0)
-        .filter(F.col("is_document"))
-        .filter(status_matches(F.col("status"), include_status, exclude_status))
-        .filter(mime_matches(F.col("mime"), mime_types))
-        .select(F.col("url").alias("doc_id"), F.create_map(*attrs).alias("id_attrs"))
+        (F.col("position") > 0)
+        & (F.col("body_length") > 0)
+        & F.col("is_document")
+        & status_matches(F.col("status"), include_status, exclude_status)
+        & mime_matches(F.col("mime"), mime_types)
     )

@@ -250,8 +250,11 @@ def _archived(spark, sf_dir, made: DataFrame, header: str) -> DataFrame:
     ids = listing.record_ids(
         archives.read_records(made, with_body=False), mime_types="text/html text/plain no-type"
     )
-    docs = archives.documents_from(archives.read_records_at(ids))
-    whole = (F.col("encoding") != "windows-1252")
+    return _archive_rows(archives.documents_from(archives.read_records_at(ids)), header)
+
+
+def _archive_rows(docs: DataFrame, header: str) -> DataFrame:
+    whole = F.col("encoding") != "windows-1252"
     return docs.select(
         "doc_id",
         F.col("features")["archive_position"].cast("long").alias("position"),
@@ -282,6 +285,23 @@ def warc_documents(spark, sf_dir):
     return _archived(spark, sf_dir, made, "arc_header_WARC-Target-URI")
 
 
+@query(
+    _ARCHIVE_SQL.format(
+        position="2 * n",
+        body="length(html)",
+        header="'crawl-' || lpad(CAST(page_id // 50 AS VARCHAR), 6, '0') || '.warc.gz'",
+        kept=_FETCHED,
+    )
+)
+def archive_scan_documents(spark, sf_dir):
+    """The same documents from one pass over the archives, cut into stretches of a few records."""
+    made = derived.write_containers(
+        _records(spark, sf_dir), F.col("page_id"), "page_id", "crawl", ".warc.gz", derived.warc_of
+    )
+    found = archives.archive_documents(made, mime_types="text/html text/plain no-type", stretch_bytes=20_000)
+    return _archive_rows(found, "archive_name")
+
+
 @query(
     _ARCHIVE_SQL.format(
         position="n",

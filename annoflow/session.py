@@ -37,6 +37,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return posixpath.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def temporary_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path in scratch space, deleted as ``written`` says."""
+    path = scratch_path(spark, name)
+    blocks = _TEMPORARY.get()
+    if keep:
+        blocks = blocks[:-1]
+    if blocks:
+        blocks[-1].append(path)
+    return path
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None, keep: bool = False) -> DataFrame:
     """Write ``df`` to scratch space as Parquet and read it back.
 
@@ -45,12 +56,7 @@ def written(df: DataFrame, name: str, partition_by: str | None = None, keep: boo
     executor is lost. Inside ``temporary_tables`` the table goes at the end of the block; with
     ``keep`` it outlives the block, as a block's result has to, and goes with the next one around it.
     """
-    path = scratch_path(df.sparkSession, name)
-    blocks = _TEMPORARY.get()
-    if keep:
-        blocks = blocks[:-1]
-    if blocks:
-        blocks[-1].append(path)
+    path = temporary_path(df.sparkSession, name, keep)
     df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import bz2
 import lzma
+import os
 import posixpath
 import re
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -230,6 +232,43 @@ def write_atomically(path: str, data: bytes, attempt: str) -> None:
     move_over(system, temporary, place)
 
 
+def read_if_there(path: str) -> bytes | None:
+    """A small file, or None where there is none."""
+    try:
+        with open_input(path) as f:
+            return f.read()
+    except FileNotFoundError:
+        return None
+
+
+def create_new(path: str, data: bytes) -> bool:
+    """Put a whole file in place unless one is there already; tells which.
+
+    Exact where the file system refuses to link or rename onto a file that exists, as local disks and HDFS
+    do. Elsewhere two writers within the same instant may both be told yes.
+    """
+    system, place = locate(path)
+    system.create_dir(posixpath.dirname(place), recursive=True)
+    temporary = posixpath.join(posixpath.dirname(place), f".{posixpath.basename(place)}.{uuid.uuid4().hex}")
+    with system.open_output_stream(temporary, compression=None) as out:
+        out.write(data)
+    try:
+        if isinstance(system, pafs.LocalFileSystem):
+            os.link(temporary, place)
+        elif system.get_file_info(place).type != pafs.FileType.NotFound:
+            raise FileExistsError(place)
+        else:
+            system.move(temporary, place)
+            return True
+        created = True
+    except OSError:
+        if system.get_file_info(place).type == pafs.FileType.NotFound:
+            raise
+        created = False
+    system.delete_file(temporary)
+    return created
+
+
 def move_over(system: pafs.FileSystem, source: str, target: str) -> None:
     """Rename onto a path that may exist; some file systems refuse that."""
     try:

@@ -2,6 +2,8 @@ import bz2
 import gzip
 import json
 import lzma
+import os
+import random
 import zipfile
 import zlib
 
@@ -13,7 +15,9 @@ from pyspark.sql import functions as F
 from annoflow.operators import enumerate as listing
 from annoflow.operators.lookup import lookup
 from annoflow.model import as_documents, empty_map
+from annoflow.operators.spread import spread
 from annoflow.sources import archives, files, json_stream, storage, zips
+from annoflow.sources.archive_frames import Frames
 
 
 def ids_of(spark, *names, **attrs):
@@ -217,7 +221,7 @@ def test_warc_documents(spark, crawl):
     docs = rows_by_id(archives.documents_from(archives.read_records_at(ids), mime_type="text/html"))
     ok = docs["http://h/ok"]
     assert (ok["text"], ok["encoding"], ok["file_size"], ok["document_length"]) == ("café", "utf-8", 5, 4)
-    assert ok["features"]["archive_name"] == crawl.rsplit("/", 1)[1]
+    assert ok["features"]["archive_name"] == crawl
     assert ok["features"]["archive_position"] == "1"
     assert ok["features"]["retrievedAt"] == "1994-11-06T08:49:37Z"
     assert ok["features"]["original_size"] == "5"
@@ -289,6 +293,106 @@ def test_arc(spark, tmp_path):
     assert docs["dns:h"]["features"]["retrievedAt"] == "2008-04-30T20:48:25Z"
 
 
+# --- archives in stretches ------------------------------------------------------
+
+
+def arc(*records):
+    head = b"1 0 x\nURL IP-address Archive-date Content-type Archive-length\n"
+    lines = [f"filedesc://x.arc 0.0.0.0 20240101000000 text/plain {len(head)}\n".encode() + head]
+    lines += [f"{url} 1.2.3.4 20080430204825 {mime} {len(content)}\n".encode() + content for _, url, mime, content in records]
+    return lines
+
+
+def many_records(draw, inner):
+    """Records of very different sizes; some hold archives, whose records must not be taken for their own."""
+    out = []
+    for i in range(60):
+        body = bytes(draw.choices(b"abc \n", k=draw.choice([0, 5, 60, 900])))
+        if i % 7 == 3:
+            body = draw.choice([inner, b"text\n" + inner + b"\r\n\r\n" + inner])
+        out.append(("response", f"http://h/{i}", HTTP, response(body, content_type="text/html")))
+    return out
+
+
+@pytest.fixture(params=["warc", "warc.gz", "arc", "arc.gz"])
+def big_archive(request, tmp_path):
+    draw = random.Random(request.param)
+    zipped = request.param.endswith("gz")
+    # stored, not compressed: the members within are there byte by byte
+    stored = lambda r: gzip.compress(r, 0 if len(r) > 2000 else 6)
+    if request.param.startswith("warc"):
+        inner = warc(*(("response", f"http://inner/{i}", HTTP, response(b"inner" * 40)) for i in range(12)), zipped=zipped)
+        parts = [warc(r, zipped=False) for r in many_records(draw, inner)]
+    else:
+        inner = arc(*(("", f"http://inner/{i}", "text/html", response(b"inner" * 40)) for i in range(12)))
+        inner = b"".join(gzip.compress(r + b"\n") if zipped else r + b"\n" for r in inner)
+        parts = [r + b"\n" for r in arc(*(("", u, "text/html", c) for _, u, _, c in many_records(draw, inner)))]
+    path = tmp_path / f"big.{request.param}"
+    path.write_bytes(b"".join(stored(p) if zipped else p for p in parts))
+    return str(path)
+
+
+def test_stretches_give_what_one_scan_gives(spark, big_archive):
+    frame = zips.paths_frame(spark, big_archive)
+    wanted = {tuple(r) for r in archives.read_records(frame, with_body=False).select("position", "offset", "url", "body_length", "load_error").collect()}
+    urls = [w[2] for w in sorted(wanted)]
+    assert urls[-60:] == [f"http://h/{i}" for i in range(60)] and len(urls) <= 61 and not any(w[4] for w in wanted)
+    for size in (300, 1111, 5000):
+        got = archives.read_records(frame, stretch_bytes=size).select("position", "offset", "url", "body_length", "load_error").collect()
+        assert len(got) == len(wanted) and {tuple(r) for r in got} == wanted
+    docs = archives.archive_documents(frame, stretch_bytes=2000).select("doc_id", F.md5("text"), F.col("features")["archive_name"]).collect()
+    ids = listing.record_ids(archives.read_records(frame, with_body=False))
+    fetched = archives.documents_from(archives.read_records_at(ids)).select("doc_id", F.md5("text")).collect()
+    assert sorted(tuple(d)[:2] for d in docs) == sorted(map(tuple, fetched)) and len(docs) > 30
+    assert {d[2] for d in docs} == {os.path.basename(big_archive)}
+
+
+def test_an_archive_is_read_by_many_tasks_and_once(spark, tmp_path):
+    draw = random.Random(5)
+    records = [("response", f"http://h/{i}", HTTP, response(draw.randbytes(draw.randrange(40_000)), content_type="text/html")) for i in range(400)]
+    for zipped in (False, True):
+        path = str(tmp_path / f"w{zipped}")
+        with open(path, "wb") as f:
+            f.write(warc(*records, zipped=zipped))
+        size, stretch, read, found = os.path.getsize(path), 1 << 20, 0, []
+        for begin in range(0, size, stretch):
+            with storage.open_input(path) as f:
+                frames = Frames(f, step=1 << 14)
+                found += [x.offset for x in frames.between(begin, min(begin + stretch, size), begin == 0)]
+                read += frames.window.read
+        assert len(found) == 400 == len(set(found)) and read <= 1.1 * size
+    scanned = archives.read_records(zips.paths_frame(spark, path), with_body=False, stretch_bytes=1 << 20)
+    assert scanned.count() == 400
+    stretches = scanned.sparkSession.createDataFrame([(path,)], "path string").mapInArrow(archives._stretches(1 << 20), archives._STRETCH)
+    assert spread(stretches, "archive", "begin", size=F.col("size")).rdd.getNumPartitions() == min(stretches.count(), 8)
+
+
+@pytest.mark.parametrize("zipped", [False, True])
+def test_a_broken_record_fails_alone(spark, tmp_path, zipped):
+    parts = [warc(("response", f"http://h/{i}", HTTP, response(b"text %d" % i, content_type="text/html")), zipped=zipped) for i in range(9)]
+    parts[2] = parts[2][:40] + b"#" * 20 + parts[2][60:] if zipped else parts[2].replace(b"Content-Length", b"Contents")
+    parts[5] = parts[5].replace(b"WARC/1.0", b"HARM/1.0") if not zipped else gzip.compress(b"no record at all")
+    parts[8] = parts[8][:-30]
+    path = tmp_path / "broken"
+    path.write_bytes(b"".join(parts))
+    for size in (1 << 20, 200):
+        docs = archives.archive_documents(zips.paths_frame(spark, str(path)), stretch_bytes=size).collect()
+        texts = {d["doc_id"]: d["text"] for d in docs if d["load_error"] is None}
+        assert texts == {f"http://h/{i}": f"text {i}" for i in (1, 3, 4, 6, 7)}
+        starts = [sum(map(len, parts[:i])) for i in (2, 5, 8)]
+        assert sorted(d["doc_id"] for d in docs if d["load_error"]) == sorted(f"{path}@{s}" for s in starts)
+
+
+def test_archive_names(spark, tmp_path):
+    path = tmp_path / "n.warc"
+    path.write_bytes(warc(("warcinfo", "", "x/y", b""), ("response", "http://h/1", HTTP, response(b"a")), zipped=False))
+    found = archives.read_records(zips.paths_frame(spark, f"file://{path}"), with_body=False)
+    name = lambda docs: docs.first()["features"]["archive_name"]
+    assert name(archives.documents_from(archives.read_records_at(listing.record_ids(found)))) == str(path)
+    plain = listing.record_ids(found, with_archive=False)
+    assert name(archives.documents_from(archives.read_records_at(plain, str(path)))) == "n.warc"
+
+
 # --- JSON streams ----------------------------------------------------------
 
 OBJECTS = [{"id": "é1", "x": [1, {"y": "]}"}]}, {"id": 2, "n": None}, {"delete": {"id": 3}}, {"id": ""}, {"id": None}]
