@@ -57,10 +57,29 @@ def written(df: DataFrame, name: str, partition_by: str | None = None, keep: boo
     ``keep`` it outlives the block, as a block's result has to, and goes with the next one around it.
     """
     path = temporary_path(df.sparkSession, name, keep)
-    df.write.parquet(path, partitionBy=partition_by)
+    with _shuffles_end(df.sparkSession):
+        df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written go when it is there; else they would lie on the
+    executors' disks until the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 #: The tables to delete of each block that is open, the innermost last.
 _TEMPORARY: ContextVar[tuple[list[str], ...]] = ContextVar("temporary tables", default=())
 
