@@ -59,7 +59,12 @@ def pointer_value(variant: Column, pointer: str, json: Column | None = None) ->
 
 def id_by_pointer(json: Column, pointer: str) -> Column:
     """ID at a pointer. Null or empty means the object is not a document."""
-    return bind(F.try_parse_json(json), lambda variant: pointer_value(variant, pointer, json))
+    return bind(F.try_parse_json(json), lambda variant: id_from_pointer(variant, json, pointer))
+
+
+def id_from_pointer(variant: Column, json: Column, pointer: str) -> Column:
+    """``id_by_pointer`` of JSON that is parsed already."""
+    return pointer_value(variant, pointer, json)
 
 
 def id_by_template(json: Column, template: str) -> Column:
@@ -68,6 +73,11 @@ def id_by_template(json: Column, template: str) -> Column:
     The leftmost alternative whose pointers all resolve to scalars wins; null if
     none does. Inside braces ``~2`` stands for ``}`` and ``~3`` for ``|``.
     """
+    return bind(F.try_parse_json(json), lambda variant: id_from_template(variant, json, template))
+
+
+def id_from_template(variant: Column, json: Column, template: str) -> Column:
+    """``id_by_template`` of JSON that is parsed already."""
     compiled: list[list[tuple[str, bool]]] = []
     for alternative in template.rstrip("|").split("|"):
         pieces = re.split(r"\{([^}]+)\}", alternative)
@@ -81,17 +91,12 @@ def id_by_template(json: Column, template: str) -> Column:
             ]
         )
 
-    def resolved(variant: Column) -> Column:
-        return F.coalesce(
-            *(
-                F.concat(
-                    *(pointer_value(variant, piece, json) if is_pointer else F.lit(piece) for piece, is_pointer in parts)
-                )
-                for parts in compiled
-            )
+    return F.coalesce(
+        *(
+            F.concat(*(pointer_value(variant, piece, json) if is_pointer else F.lit(piece) for piece, is_pointer in parts))
+            for parts in compiled
         )
-
-    return bind(F.try_parse_json(json), resolved)
+    )
 
 
 def is_document(doc_id: Column) -> Column:

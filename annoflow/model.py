@@ -146,6 +146,7 @@ def as_documents(
     id_attrs: Column | None = None,
     file_size: Column | None = None,
     mime_type: str | None = None,
+    load_error: Column | None = None,
 ) -> DataFrame:
     """Project any table onto ``DOCUMENT``. Bytes default to the UTF-8 size."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -159,5 +160,5 @@ def as_documents(
         F.lit("UTF-8").alias("encoding"),
         (F.octet_length(text) if file_size is None else file_size).cast("long").alias("file_size"),
         F.length(text).cast("long").alias("document_length"),
-        F.when(text.isNull(), F.lit("no content")).cast("string").alias("load_error"),
+        F.coalesce(F.lit(None).cast("string") if load_error is None else load_error, F.when(text.isNull(), F.lit("no content"))).alias("load_error"),
     )

@@ -83,6 +83,12 @@ def compression_name(name: str | None) -> str:
     return name
 
 
+def is_packed(head: bytes, compression: str | None) -> bool:
+    """Whether a file that begins so has to be read from its start to be decompressed."""
+    name = compression_name(compression)
+    return name != "none" if name != "any" else any(head.startswith(magic) for _, magic in _MAGIC)
+
+
 def decompressed(f, compression: str | None) -> Iterator[bytes]:
     """The contents of an open file, piece by piece.
 

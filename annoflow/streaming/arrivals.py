@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from annoflow.model import JobSpec, Output
@@ -85,7 +85,7 @@ def annotate_stream(
 
 def documents_of_lines(**ids: Any) -> Callable[[DataFrame], DataFrame]:
     """``to_documents`` for ``arriving_lines``; takes ``json_documents`` options."""
-    return lambda batch: json_documents(compact(batch.filter("trim(value) <> ''"), "value"), **ids)
+    return lambda batch: json_documents(compact(batch.filter(F.col("value").rlike(r"[^\x00-\x20]")), "value"), **ids)
 
 
 def documents_of_files(compression: str | None = None, **ids: Any) -> Callable[[DataFrame], DataFrame]:

@@ -16,7 +16,7 @@ from annoflow.operators import enumerate as listing
 from annoflow.operators.lookup import lookup
 from annoflow.model import as_documents, empty_map
 from annoflow.operators.spread import spread
-from annoflow.sources import archives, files, json_stream, storage, zips
+from annoflow.sources import archives, files, json_blocks, json_stream, storage, zips
 from annoflow.sources.archive_frames import Frames
 
 
@@ -459,9 +459,77 @@ def test_what_is_not_json_fails(text):
 
 
 def test_an_object_that_cannot_be_parsed_is_no_object_without_an_id(spark):
-    rows = spark.createDataFrame([('{"id": 1, "id": 2}',)], "json string")
-    with pytest.raises(Exception, match="cannot parse a JSON object"):
-        json_stream.json_documents(rows, id_pointer="/id").collect()
+    rows = spark.createDataFrame([('{"id": 1, "id": 2}',), ('{"id": 3}',), ("{}",)], "json string")
+    docs = {d["doc_id"]: d for d in json_stream.json_documents(rows, id_pointer="/id").collect()}
+    assert len(docs) == 2 and docs["3"]["load_error"] is None
+    bad = next(d for i, d in docs.items() if i != "3")
+    assert bad["load_error"].startswith("cannot parse a JSON object") and bad["text"] is None
+
+
+def scanned_in_blocks(data, size, piece):
+    """Values, with their places, of blocks that are entered as their effects say."""
+    begins = list(range(0, max(len(data), 1), size))
+    cut = lambda b, e: (data[i : min(i + piece, e)] for i in range(b, e, piece))
+    found = json_blocks.entries([json_blocks.effect(cut(b, min(b + size, len(data))), data[:b]) for b in begins])
+    out = []
+    for b, entry in zip(begins, found):
+        out += json_blocks.TopValues(b, entry, data[:b], b + size if b + size < len(data) else float("inf")).read(cut(b, len(data)))
+    return out
+
+
+strings = st.text(st.sampled_from('ab"\\\\[]{},: \n\u00e9'), max_size=8)
+tricky = st.recursive(
+    strings | st.integers() | st.booleans(), lambda x: st.lists(x, max_size=3) | st.dictionaries(strings, x, max_size=3), max_leaves=6
+)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(tricky, max_size=6), st.integers(1, 30), st.integers(1, 9), st.booleans(), st.sampled_from([" ", "\n", ",\n"]))
+def test_blocks_give_what_one_scan_gives(values, size, piece, as_array, space):
+    if as_array:
+        text = "[" + (space if "," in space else ",").join(json.dumps(v, ensure_ascii=False) for v in values) + "]"
+    else:
+        text = space.replace(",", "").join(json.dumps(v, ensure_ascii=False) for v in values)
+        if text.startswith("["):
+            text = "{} " + text
+            values = [{}, *values]
+    data = text.encode()
+    got = scanned_in_blocks(data, size, piece)
+    assert [json.loads(t) for _, t, _ in got] == values and not any(p for *_, p in got)
+    assert [p for p, *_ in got] == sorted({p for p, *_ in got})
+
+
+@pytest.mark.parametrize("text, wrong", [
+    ('{"a":1} x {"b":2}', 1), ('[{"a":1},{"b"},3]', 1), ('{"a":1}} {"b":2}', 1), ('[{"a":1},', 1), ('{"a":1} {"b":[', 1), ('[1,"ab', 2), ('{"a":1},{"b":2}', 0),
+])
+def test_bad_values_fail_alone(spark, tmp_path, text, wrong):
+    path = tmp_path / "x.json"
+    path.write_text(text)
+    for size in (1 << 20, 3):
+        rows = json_stream.read_objects(zips.paths_frame(spark, str(path)), block_bytes=size).collect()
+        want = len(rows) - sum(r["json"] is not None for r in rows)
+        assert want >= wrong and all(r["place"].startswith(f"{path}@") for r in rows)
+        if "a" in text and not text.startswith('[1'):
+            assert '{"a":1}' in {r["json"] for r in rows}
+        if text.endswith('{"b":2}'):
+            assert '{"b":2}' in {r["json"] for r in rows}
+    docs = json_stream.json_documents(json_stream.read_objects(zips.paths_frame(spark, str(path)), block_bytes=3), id_pointer="/a").collect()
+    assert sum(d["load_error"] is not None for d in docs) >= wrong
+
+
+def test_one_array_is_read_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "big.json")
+    texts = F.concat(F.lit('\\"{['), F.repeat(F.lit("x}"), (F.col("id") % 40).cast("int")))
+    lines = spark.range(60_000).select(F.to_json(F.struct("id", texts.alias("t"))).alias("j"))
+    lines.coalesce(1).write.text(str(tmp_path / "lines"))
+    lines = [line for p in sorted((tmp_path / "lines").glob("part*")) for line in p.read_text().splitlines()]
+    with open(path, "w") as f:
+        f.write("[" + ",\n".join(lines) + "]")
+    rows = json_stream.read_objects(zips.paths_frame(spark, path), block_bytes=400_000)
+    found = rows.withColumn("task", F.spark_partition_id())
+    assert found.select("task").distinct().count() >= 4
+    assert sorted(json.loads(r["json"])["id"] for r in found.collect()) == list(range(60_000))
+    assert found.agg(F.count_distinct("json")).first()[0] == 60_000
 
 
 @pytest.mark.parametrize("text", ['[{"a":1},', '{"a":1}{"a"', '{"a":1} x', '[{"a":1}'])
