@@ -41,22 +41,32 @@ def utf16_annotations(annotated: DataFrame) -> DataFrame:
     """Count annotation offsets in UTF-16 units instead of code points.
 
     They differ only after a character past U+FFFF, so documents without one
-    keep their annotations untouched.
+    keep their annotations untouched. The places of those characters are found once; how many stand
+    before an offset is found by bisection, so a text costs its length and each offset a few steps.
     """
     wide = F.filter(
-        F.transform(
-            F.split("text", ""),
-            lambda c, i: F.when(c.rlike(_PAST_BMP), i),
-        ),
+        F.transform(F.split("text", ""), lambda c, i: F.when(c >= F.lit("\U00010000"), i)),
         lambda i: i.isNotNull(),
     )
 
     def shifted(places: Column) -> Column:
-        moved = lambda offset: offset + F.size(F.filter(places, lambda i: i < offset))
-        return F.transform(
-            "annotations",
-            lambda a: a.withField("start", moved(a["start"])).withField("end", moved(a["end"])),
-        )
+        # halving steps, from the largest power of two that the places reach
+        steps = F.filter(F.array(*(F.lit(1 << k) for k in range(30, -1, -1))), lambda s: s <= F.size(places))
+
+        def before(offset: Column, halves: Column) -> Column:
+            def step(found, s):
+                ahead = found + s
+                return F.when((ahead <= F.size(places)) & (F.element_at(places, F.least(ahead, F.size(places))) < offset), ahead).otherwise(found)
+
+            return F.aggregate(halves, F.lit(0), step)
+
+        def moved(halves: Column) -> Column:
+            later = lambda offset: offset + before(offset, halves)
+            return F.transform(
+                "annotations", lambda a: a.withField("start", later(a["start"])).withField("end", later(a["end"]))
+            )
+
+        return bind(steps, moved)
 
     return annotated.withColumn(
         "annotations",

@@ -128,7 +128,7 @@ def import_xml(spark: SparkSession, path: str) -> DataFrame:
 
 def import_report(spark: SparkSession, report: str, ledger: str, run_id: str) -> None:
     """Take an XML report into a ledger, so that a job resumes from it."""
-    ledgers.write_results(import_xml(spark, report).withColumn("run_id", F.lit(run_id)), ledger)
+    ledgers.write_results(import_xml(spark, report).withColumn("run_id", F.lit(run_id)), ledger, run_id=run_id)
 
 
 def _unescaped(value: Column) -> Column:

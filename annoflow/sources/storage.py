@@ -275,6 +275,13 @@ def create_new(path: str, data: bytes) -> bool:
     return created
 
 
+def delete_folder(path: str) -> None:
+    """Delete a folder if it is there."""
+    system, place = locate(path)
+    if system.get_file_info(place).type == pafs.FileType.Directory:
+        system.delete_dir(place)
+
+
 def move_over(system: pafs.FileSystem, source: str, target: str) -> None:
     """Rename onto a path that may exist; some file systems refuse that."""
     try:

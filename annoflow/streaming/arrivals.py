@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from annoflow.model import JobSpec, Output
+from annoflow.plans import ledger as ledgers
 from annoflow.plans.job import run
 from annoflow.sources.json_stream import compact, json_documents, read_objects
 
 
+#: Batches after which their small files in the ledger are merged.
+MERGE_EVERY = 20
 _BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -76,7 +79,9 @@ def annotate_stream(
             documents=to_documents(batch),
             outputs=outputs or [],
         )
-        run(batch.sparkSession, spec, run_id=run_id, batch=number)
+        run(batch.sparkSession, spec, run_id=run_id, batch=number, few=True)
+        if number % MERGE_EVERY == MERGE_EVERY - 1:
+            ledgers.merge_batches(batch.sparkSession, ledger, run_id)
 
     writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 seconds")
