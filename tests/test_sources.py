@@ -53,7 +53,7 @@ def folder(tmp_path):
 
 
 def test_list_files(spark, folder):
-    names = lambda *a, **k: [r["doc_id"] for r in files.list_files(spark, folder, *a, **k).collect()]
+    names = lambda *a, **k: [r["doc_id"] for r in listing.in_order(files.list_files(spark, folder, *a, **k)).collect()]
     everything = names()
     assert everything == sorted(everything)
     assert everything == ["a.txt", "b/c.TXT", "b/d/_under.txt", "b/d/e.txt.gz", "bad.gz", "latin.txt", "s.snappy"]
@@ -293,6 +293,70 @@ def test_arc(spark, tmp_path):
     assert docs["dns:h"]["features"]["retrievedAt"] == "2008-04-30T20:48:25Z"
 
 
+# --- listings and ZIP indexes at scale -------------------------------------------
+
+
+def test_many_directories_are_listed_in_rounds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_LISTINGS", 50)
+    root = tmp_path / "tree"
+    want = set()
+    for i in range(1500):
+        folder = root / f"a{i % 7}" / f"b{i % 61}" / f"c{i}"
+        folder.mkdir(parents=True)
+        if i % 3 == 0:
+            (folder / "f.txt").write_text("x" * (i % 5))
+            want.add((f"a{i % 7}/b{i % 61}/c{i}/f.txt", i % 5))
+    deep = root
+    for i in range(120):
+        deep = deep / "d"
+    deep.mkdir(parents=True)
+    (deep / "end #1?.txt").write_text("")
+    want.add(("d/" * 120 + "end #1?.txt", 0))
+    got = files.list_files(spark, str(root)).collect()
+    assert len(got) == len(want) and {(r["doc_id"], r["file_size"]) for r in got} == want
+    (tmp_path / "none").mkdir()
+    assert files.list_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_zip_directory_is_read_once(spark, tmp_path):
+    """The directories go after the listing: reading the entries must not need them."""
+    paths, want = [], {}
+    for k, method in enumerate((zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2)):
+        path = tmp_path / f"{k}.zip"
+        with zipfile.ZipFile(path, "w", method) as z:
+            for i in range(300):
+                z.writestr(f"{k}/é{i}.txt", f"text {i} é " * (i % 30))
+                want[f"{k}/é{i}.txt"] = f"text {i} é " * (i % 30)
+        paths.append(str(path))
+    ids = list_once = zips.list_zip_entries(zips.paths_frame(spark, paths))
+    assert ids.count() == 900
+    for path in paths:
+        with open(path, "r+b") as f:
+            at = f.read().index(b"PK\x01\x02")
+            f.truncate(at)
+    docs = {d["doc_id"]: d for d in zips.read_zip_entries(list_once).collect()}
+    assert {i: d["text"] for i, d in docs.items()} == want and not any(d["load_error"] for d in docs.values())
+    assert all(d["file_size"] == len(want[i].encode()) for i, d in docs.items())
+
+
+def test_zip_entries_fail_alone(spark, tmp_path):
+    path = tmp_path / "x.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for i in range(4):
+            z.writestr(f"{i}", f"text {i}")
+        z.writestr("twice", "old")
+        z.writestr("twice", "new")
+    data = bytearray(path.read_bytes())
+    data[data.index(b"text 2")] = ord("T")
+    path.write_bytes(bytes(data))
+    (tmp_path / "no.zip").write_bytes(b"no zip at all")
+    ids = ids_of(spark, "0", "1", "2", "twice", "missing", zip=str(path)).union(ids_of(spark, "other", zip=str(tmp_path / "no.zip"))).union(ids_of(spark, "lost"))
+    docs = {d["doc_id"]: d for d in zips.read_zip_entries(ids).collect()}
+    assert {i: d["text"] for i, d in docs.items() if d["load_error"] is None} == {"0": "text 0", "1": "text 1", "twice": "new"}
+    errors = {i: d["load_error"] for i, d in docs.items() if d["load_error"]}
+    assert "check sum" in errors["2"] and "holds no entry" in errors["missing"] and "zip" in errors["other"].lower() and "no ZIP file" in errors["lost"]
+
+
 # --- archives in stretches ------------------------------------------------------
 
 
