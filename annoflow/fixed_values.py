@@ -41,6 +41,8 @@ XCES_ANNOTATION = "struct"
 XCES_FEATURE = "feat"
 
 # --- fixed values: elements of XML reports, with the columns they hold ----
+REPORT_ROOT = "cloudReport"
+REPORT_DOCUMENTS = "documents"
 REPORT_ENTRY = "processResult"
 REPORT_ENTRY_NUMBERS = (
     ("fileSize", "file_size"),

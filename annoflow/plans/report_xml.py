@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import posixpath
+import uuid
+from collections.abc import Iterator
+from xml.sax.saxutils import quoteattr
+
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.column import Column
 
 from annoflow.fixed_values import (
     REPORT_COUNT,
+    REPORT_DOCUMENTS,
     REPORT_ENTRY,
     REPORT_ENTRY_NUMBERS,
     REPORT_ERROR,
+    REPORT_ROOT,
     REPORT_STATISTICS,
     REPORT_SUMMARY,
     REPORT_SUMMARY_FIELDS,
@@ -17,6 +26,8 @@ from annoflow.fixed_values import (
 from annoflow.functions.render import xml_attribute, xml_text
 from annoflow.model import FAIL, SUCCESS
 from annoflow.plans import ledger as ledgers
+from annoflow.session import temporary_path, temporary_tables
+from annoflow.sources import storage
 
 _OPEN = f"<{REPORT_ENTRY} "
 _CLOSE = f"</{REPORT_ENTRY}>"
@@ -81,6 +92,58 @@ def export_xml(results: DataFrame, path: str) -> None:
     results.select(result_xml().alias("value")).write.mode("overwrite").text(path)
 
 
+#: Bytes copied at a time.
+_PIECE = 4 << 20
+
+
+def write_report(results: DataFrame, summary: DataFrame, path: str, namespace: str | None = None) -> None:
+    """Write one XML file: the root, the entries of all results, and the summary (the first row of ``summary``).
+
+    Entries are rendered by all tasks into parts; one task then copies the parts, in order and piece by piece, into the
+    file, which takes its name when it is whole. ``namespace`` is the root's, for tools that ask for one.
+    """
+    spark = results.sparkSession
+    with temporary_tables(spark):
+        parts = temporary_path(spark, "report-parts")
+        export_xml(results, parts)
+        end = summary.select(summary_xml()).first()[0]
+        begin = f'<?xml version="1.0" encoding="UTF-8"?>\n<{REPORT_ROOT}'
+        begin += f" xmlns={quoteattr(namespace)}>" if namespace else ">"
+        begin += f"\n<{REPORT_DOCUMENTS}>\n"
+        end = f"</{REPORT_DOCUMENTS}>\n{end}\n</{REPORT_ROOT}>\n"
+
+        def copy(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in incoming:
+                size = _joined(parts, path, begin, end) if batch.num_rows else 0
+                yield pa.RecordBatch.from_pydict({"size": [size]})
+
+        spark.range(1, numPartitions=1).mapInArrow(copy, "size long").collect()
+
+
+def _joined(parts: str, path: str, begin: str, end: str) -> int:
+    source, folder = storage.locate(parts)
+    system, place = storage.locate(path)
+    system.create_dir(posixpath.dirname(place), recursive=True)
+    temporary = posixpath.join(posixpath.dirname(place), f".{posixpath.basename(place)}.{uuid.uuid4().hex}")
+    names = sorted(i.path for i in source.get_file_info(pafs.FileSelector(folder)) if i.base_name.startswith("part-"))
+    with system.open_output_stream(temporary, compression=None) as out:
+        out.write(begin.encode())
+        for name in names:
+            with source.open_input_stream(name, compression=None) as f:
+                for piece in storage.chunks_of(f, _PIECE):
+                    out.write(piece)
+        out.write(end.encode())
+        size = out.tell()
+    storage.move_over(system, temporary, place)
+    return size
+
+
+def report_of_run(spark: SparkSession, ledger: str, run_id: str, path: str, elapsed_ms: int = 0, namespace: str | None = None) -> None:
+    """The report file of a run: what the ledger holds of it, and its summary."""
+    own = ledgers.read_ledger(spark, ledger).where(F.col("run_id") == run_id)
+    write_report(own, ledgers.summary(own, run_id, elapsed_ms), path, namespace)
+
+
 def import_xml(spark: SparkSession, path: str) -> DataFrame:
     """Results from reports, whole or cut short; incomplete entries are left out.
 

@@ -91,8 +91,9 @@ def batch_summary(spark, sf_dir):
              CASE WHEN failed THEN 'two <addresses> & more' END AS error FROM res"""
 )
 def report_round_trip(spark, sf_dir):
-    path = scratch_path(spark, "report-xml")
-    report_xml.export_xml(_results(spark, sf_dir), path)
+    path = scratch_path(spark, "report.xml")
+    results = _results(spark, sf_dir)
+    report_xml.write_report(results, ledgers.summary(results, "run"), path)
     return _flat_results(report_xml.import_xml(spark, path))
 
 
