@@ -68,7 +68,11 @@ def zip_of(rows: list[dict]) -> bytes:
 
 def json_array_of(rows: list[dict]) -> bytes:
     """One array of the objects in column ``json``, gzipped."""
-    return gzip.compress(("[\n" + ",\n".join(row["json"] for row in rows) + "\n]\n").encode())
+    return gzip.compress(plain_json_array_of(rows))
+
+
+def plain_json_array_of(rows: list[dict]) -> bytes:
+    return ("[\n" + ",\n".join(row["json"] for row in rows) + "\n]\n").encode()
 
 
 FIRST_DAY = datetime(2024, 1, 1)

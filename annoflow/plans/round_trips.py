@@ -140,6 +140,13 @@ def json_array_docs(spark, sf_dir):
     return _turn_rows(json_stream.json_documents(json_stream.read_objects(made, "any"), **_TURN_ID))
 
 
+@query(_TURN_SQL)
+def json_block_docs(spark, sf_dir):
+    """Arrays that are not compressed, each read by several tasks."""
+    made = derived.write_containers(_turns(spark, sf_dir), F.col("conv_id"), "conv_id", "turns", ".json", derived.plain_json_array_of)
+    return _turn_rows(json_stream.json_documents(json_stream.read_objects(made, block_bytes=10_000), **_TURN_ID))
+
+
 @query(_TURN_SQL)
 def json_chunk_docs(spark, sf_dir):
     root = scratch_path(spark, "turn-chunks")
