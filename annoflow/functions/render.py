@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -336,6 +337,27 @@ _XML_TEXT = {ord("&"): "&amp;", ord("<"): "&lt;", ord(">"): "&gt;", **_XML_SPACE
 _XML_ATTRIBUTE = {ord('"'): "&quot;", 10: "&#10;", 13: "&#13;", 9: "&#9;", **_XML_TEXT}
 
 
+# What a name in XML 1.0 may begin with, and what else it may hold. Colons would claim a namespace.
+_NAME_START = "A-Z_a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02ff\u0370-\u037d\u037f-\u1fff\u200c\u200d\u2070-\u218f\u2c00-\u2fef\u3001-\ud7ff\uf900-\ufdcf\ufdf0-\ufffd"
+_NAME_OTHER = "-.0-9\u00b7\u0300-\u036f\u203f\u2040"
+_NOT_IN_NAME = re.compile(f"[^{_NAME_START}{_NAME_OTHER}]")
+_NO_START = re.compile(f"^(?![{_NAME_START}])")
+
+
+@lru_cache(maxsize=10_000)
+def _xml_name(name: str) -> str:
+    """A name that XML takes: other characters are written as underscores, and one more leads what may not begin a name."""
+    return _NO_START.sub("_", _NOT_IN_NAME.sub("_", name))
+
+
+def _attributes(features: list) -> str:
+    """Features as attributes, in order of their names; of names that come out equal the first counts."""
+    named: dict[str, str] = {}
+    for key, value in sorted(features):
+        named.setdefault(_xml_name(key), (value or "").translate(_XML_ATTRIBUTE))
+    return "".join(f' {k}="{v}"' for k, v in named.items())
+
+
 def _inline_batch(batch: pa.RecordBatch, with_features: bool) -> Iterator[tuple[str, int]]:
     column = batch.column("annotations")
     bounds = np.asarray(column.offsets)
@@ -376,12 +398,9 @@ def _inline(text: str, spans, types: list[str], features: list | None) -> tuple[
             crossing += 1
             continue
         text_until(start)
-        name = types[row]
+        name = _xml_name(types[row])
         if features and features[row]:
-            attributes = "".join(
-                f' {k}="{(v or "").translate(_XML_ATTRIBUTE)}"' for k, v in sorted(features[row])
-            )
-            out.append(f"<{name}{attributes}>")
+            out.append(f"<{name}{_attributes(features[row])}>")
         else:
             out.append(f"<{name}>")
         open_tags.append((end, name))

@@ -8,21 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 def lookup(ids: DataFrame, docs: DataFrame) -> DataFrame:
     """The document of every ID; an ID without one carries a ``load_error``.
 
-    Attributes come from the ID. An inner join finds the documents, so a small
-    ID list is broadcast to the scan and, where both sides are large, AQE can
-    split a hot ID on either; the IDs it leaves are found by an anti join over
-    ID columns alone.
+    Attributes come from the ID. The documents are scanned once: a semi join keeps those that are asked for (a
+    small set of IDs is broadcast to the scan), and an outer join from the IDs, by the same key and so without another
+    shuffle of the documents, gives found and missing ones alike. An ID that is asked for very often is split by AQE.
     """
     wanted = ids.select("doc_id", "id_attrs")
-    found = docs.drop("id_attrs").join(wanted, "doc_id").select(docs.columns)
-    missing = wanted.join(docs.select("doc_id").distinct(), "doc_id", "left_anti")
+    asked = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    met = wanted.join(asked.drop("id_attrs").withColumn("_there", F.lit(True)), "doc_id", "left")
     error = F.concat(F.lit("Unknown document "), F.col("doc_id"))
-    unknown = missing.select(
-        *(
-            F.col(f.name) if f.name in ("doc_id", "id_attrs")
-            else error.alias(f.name) if f.name == "load_error"
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in docs.schema.fields
-        )
-    )
-    return found.union(unknown)
+    problem = F.when(F.col("_there").isNull(), error).otherwise(F.col("load_error"))
+    return met.withColumn("load_error", problem).select(docs.columns)

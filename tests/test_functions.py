@@ -242,3 +242,15 @@ def test_offsets_of_a_long_text_of_wide_characters(spark, make_annotated):
     units = lambda n: len(short[:n].encode("utf-16-le")) // 2
     got = render.utf16_annotations(make_annotated({"short": (short, every)})).first()["annotations"]
     assert [(a.start, a.end) for a in got] == [(units(s), units(e)) for _, _, s, e, _ in every]
+
+
+def test_inline_names_are_names(spark, make_annotated):
+    from xml.etree import ElementTree
+
+    odd = ["ok", "two words", "1st", "a:b", "", "<x>", "é-ñ.1", "\U0001f600", "-", "a\"b"]
+    spans = [("", t, i, i + 1, {t: "v<\"&\n", "k": None}) for i, t in enumerate(odd)]
+    got = render.with_inline(make_annotated({"d": ("abcdefghij & more", spans)}), include_features=True).first()
+    root = ElementTree.fromstring(got["rendered"])
+    assert [e.tag for e in root] == ["ok", "two_words", "_1st", "a_b", "_", "_x_", "é-ñ.1", "_", "_-", "a_b"]
+    assert "".join(root.itertext()) == "abcdefghij & more" and got["crossing"] == 0
+    assert all(e.get("k") == "" and e.get(e.tag if e.tag != "k" else "k") == 'v<"&\n' for e in root)

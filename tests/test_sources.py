@@ -640,3 +640,23 @@ def test_lines_are_compacted(spark, tmp_path):
 def test_an_id_setting_is_required(spark):
     with pytest.raises(ValueError):
         json_stream.json_documents(spark.createDataFrame([("{}",)], "json string"))
+
+
+def test_lookup_scans_documents_once(spark, tmp_path):
+    docs = as_documents(spark.range(500).select(F.col("id").cast("string").alias("i"), F.concat(F.lit("text "), "id").alias("t")), "i", "t")
+    docs.write.parquet(str(tmp_path / "docs"))
+    kept = spark.read.schema(docs.schema).parquet(str(tmp_path / "docs"))
+    ids = spark.range(300).select(F.when(F.col("id") < 200, "7").otherwise(F.col("id") * 3).cast("string").alias("doc_id"), empty_map().alias("id_attrs"))
+    for limit in ("-1", "10MB"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            found = lookup(ids, kept)
+            rows = found.collect()
+            plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert plan.count("FileScan parquet") == 1
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert len(rows) == 300 and sum(r["text"] == "text 7" for r in rows) == 200
+        missing = {r["doc_id"] for r in rows if r["load_error"]}
+        assert missing == {str(3 * i) for i in range(200, 300) if 3 * i >= 500}
+        assert all(r["load_error"] == f"Unknown document {r['doc_id']}" for r in rows if r["doc_id"] in missing)
