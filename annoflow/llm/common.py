@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -48,6 +49,15 @@ def map_batches(
 BROADCAST_KEYS = 1_000_000
 
 
+def shielded(docs: DataFrame, *own: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with every column but ``own`` under a name that no operator uses, and how to get the
+    old names (and these columns alone) back."""
+    names = docs.columns
+    mark = uuid.uuid4().hex
+    safe = [n if n in own else f"_{i}_{mark}" for i, n in enumerate(names)]
+    return docs.toDF(*safe), lambda df: df.select(*safe).toDF(*names)
+
+
 def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` as they are, and their ``content_key``."""
     return docs.withColumn("key", content_key(docs[id_col], F.coalesce(docs[text_col], F.lit(""))))
@@ -91,3 +101,23 @@ def one_row_each(rows: DataFrame, key: str = "key") -> DataFrame:
     if few <= BROADCAST_KEYS:
         repeated = F.broadcast(repeated)
     return rows.join(repeated, key, "left_anti").union(rows.join(repeated, key, "left_semi").dropDuplicates([key]))
+
+
+#: Keys that more rows than one in so many have are hot; there are no more of them than this.
+HOT_KEYS = 100_000
+#: Rows of a key that one task takes in any case.
+KEY_ROWS = 1_000
+
+
+def join_split(rows: DataFrame, table: DataFrame, on: str | list[str], size: str, total: int, how: str = "inner") -> DataFrame:
+    """Join ``rows``, ``total`` at most, with a ``table`` of one row a key, whose ``size`` says how many rows have it.
+
+    Hot keys are so few that their part of the table can be sent to every task, so their rows stay where
+    they are; only the others are shuffled, and none of these keys has many rows. ``how`` is inner or left.
+    """
+    on = [on] if isinstance(on, str) else on
+    many = max(KEY_ROWS, total // HOT_KEYS)
+    names = [c for c in table.columns if c not in on]
+    marked = rows.join(F.broadcast(table.where(F.col(size) > many)), on, "left")
+    rest = marked.where(F.col(size).isNull()).drop(*names).join(table.where(F.col(size) <= many), on, how)
+    return marked.where(F.col(size).isNotNull()).unionByName(rest)

@@ -20,9 +20,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from annoflow.llm.common import content_key, id_and_text, keep_matching, map_batches
+from annoflow.llm.common import content_key, id_and_text, join_split, keep_matching, map_batches
 from annoflow.llm.hashing import mix, prefix_sums, window_hashes
-from annoflow.session import written
+from annoflow.session import temporary_tables, written
 
 #: Bytes of a string, of the hashed part at an anchor, and of its surroundings on one side.
 LENGTH, GRAM, SIDE = 400, 16, 200
@@ -244,56 +244,77 @@ def spans_of(starts: np.ndarray, length: int = LENGTH) -> list[tuple[int, int]]:
 
 def _sorted_shard(group: pa.Table) -> pa.Table:
     texts = group["piece"].to_pylist()
-    found = repeated_starts(texts)
-    a, b, begins, ends = [], [], [], []
-    for x, y, starts in zip(group["a"].to_pylist(), group["b"].to_pylist(), found):
-        for begin, end in spans_of(starts):
-            a.append(x)
-            b.append(y)
-            begins.append(begin)
-            ends.append(end)
-    return pa.table({n: pa.array(c, pa.int64()) for n, c in (("a", a), ("b", b), ("from", begins), ("to", ends))})
-
-
-def _spread_shard(group: pa.Table) -> pa.Table:
-    """A shard of an anchor that several shards share: the spans repeated within it,
-    and the digest of each of its strings once, for the merge with the others."""
-    texts = group["piece"].to_pylist()
-    tables, seen = [], set()
-    for x, y, text, starts in zip(group["a"].to_pylist(), group["b"].to_pylist(), texts, repeated_starts(texts)):
-        spans = np.array(spans_of(starts), np.int64).reshape(-1, 2)
-        within = np.zeros(max(0, len(text) - LENGTH + 1), bool)
-        within[starts] = True
-        digests, places = [], []
-        for start in range(len(within)):
-            digest = xxhash.xxh3_128_digest(text[start : start + LENGTH])
-            if within[start]:
-                if digest in seen:
-                    continue
-                seen.add(digest)
-            digests.append(digest)
-            places.append(start)
-        halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-        places = np.array(places, np.int64)
-        tables.append(_rows(x, y, spans[:, 0], spans[:, 1], None))
-        tables.append(_rows(x, y, places, places + LENGTH, halves))
-    return pa.concat_tables(tables)
-
-
-def _rows(x: int, y: int, begins: np.ndarray, ends: np.ndarray, digests: np.ndarray | None) -> pa.Table:
-    n = len(begins)
-    c, d = (pa.nulls(n, pa.int64()),) * 2 if digests is None else (pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy()))
-    columns = [pa.array(np.full(n, x)), pa.array(np.full(n, y)), pa.array(begins), pa.array(ends), c, d]
-    return pa.table(dict(zip(("a", "b", "from", "to", "c", "d"), columns)))
+    found = zip(group["a"].to_pylist(), group["b"].to_pylist(), repeated_starts(texts))
+    return _spans_table([(x, y, spans_of(starts)) for x, y, starts in found if len(starts)])
+
+
+#: A string in a list that shards exchange: its digest, its piece and where it starts there.
+_STRING = np.dtype([("c", "<i8"), ("d", "<i8"), ("a", "<i8"), ("b", "<i8"), ("start", "<i4")])
+_SPREAD = "a long, b long, spans array<struct<from:long,to:long>>, slice int, strings binary"
+_SPANS = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+
+
+def _spans_table(found: list[tuple[int, int, list[tuple[int, int]]]]) -> pa.Table:
+    a, b, spans = zip(*found) if found else ([], [], [])
+    listed = [[{"from": x, "to": y} for x, y in one] for one in spans]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "spans": pa.array(listed, _SPANS)})
+
+
+def _spread_shard(slices: int):
+    def run(group: pa.Table) -> pa.Table:
+        """A shard of an anchor that several shards share: the spans repeated within it, and its different
+        strings, sorted by digest and cut into the slices in which all shards' lists are merged."""
+        texts = group["piece"].to_pylist()
+        within, lists, seen = [], [], set()
+        for x, y, text, starts in zip(group["a"].to_pylist(), group["b"].to_pylist(), texts, repeated_starts(texts)):
+            within.append((x, y, spans_of(starts)))
+            repeated = np.zeros(max(0, len(text) - LENGTH + 1), bool)
+            repeated[starts] = True
+            digests, places = [], []
+            for start in range(len(repeated)):
+                digest = xxhash.xxh3_128_digest(text[start : start + LENGTH])
+                if repeated[start]:
+                    if digest in seen:
+                        continue
+                    seen.add(digest)
+                digests.append(digest)
+                places.append(start)
+            strings = np.empty(len(places), _STRING)
+            halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            strings["c"], strings["d"], strings["a"], strings["b"], strings["start"] = halves[:, 0], halves[:, 1], x, y, places
+            lists.append(strings)
+        own = _spans_table([w for w in within if w[2]])
+        strings = np.concatenate(lists)
+        strings = strings[np.lexsort((strings["d"], strings["c"]))]
+        # slices are ranges of digests
+        slice_of = ((strings["c"].astype(np.float64) + 2.0**63) / 2.0**64 * slices).astype(np.int64).clip(0, slices - 1)
+        numbers, begins = np.unique(slice_of, return_index=True)
+        ends = [*begins[1:].tolist(), len(strings)]
+        parts = [strings[i:j].tobytes() for i, j in zip(begins.tolist(), ends)]
+        own = own.append_column("slice", pa.nulls(len(own), pa.int32())).append_column("strings", pa.nulls(len(own), pa.binary()))
+        n = len(parts)
+        cut = pa.table({"a": pa.nulls(n, pa.int64()), "b": pa.nulls(n, pa.int64()), "spans": pa.nulls(n, _SPANS),
+                        "slice": pa.array(numbers, pa.int32()), "strings": pa.array(parts, pa.binary())})
+        return pa.concat_tables([own, cut])
+
+    return run
 
 
 def _merged(group: pa.Table) -> pa.Table:
-    """Strings that several shards have: a binary search for each in the sorted list of all."""
-    digests = np.empty(len(group), [("c", np.int64), ("d", np.int64)])
-    digests["c"], digests["d"] = group["c"].to_numpy(), group["d"].to_numpy()
+    """Strings that several shards have: each shard's list searched for the digests of the others', by bisection."""
+    lists = [np.frombuffer(x.as_py(), _STRING) for x in group["strings"]]
+    everything = np.concatenate(lists)
+    digests = np.empty(len(everything), [("c", "<i8"), ("d", "<i8")])
+    digests["c"], digests["d"] = everything["c"], everything["d"]
     ordered = np.sort(digests)
     times = np.searchsorted(ordered, digests, "right") - np.searchsorted(ordered, digests, "left")
-    return group.select(["a", "b", "from", "to"]).filter(pa.array(times > 1))
+    shared = everything[times > 1]
+    shared = shared[np.lexsort((shared["start"], shared["b"], shared["a"]))]
+    heads = np.flatnonzero(np.concatenate([[True], (shared["a"][1:] != shared["a"][:-1]) | (shared["b"][1:] != shared["b"][:-1])])) if len(shared) else []
+    ends = [*list(heads[1:]), len(shared)]
+    return _spans_table(
+        [(int(shared["a"][i]), int(shared["b"][i]), spans_of(shared["start"][i:j].astype(np.int64))) for i, j in zip(heads, ends)]
+    )
 
 
 def _kept(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -327,73 +348,95 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the bytes that
     stay) and spans (removed bytes as begin and end). Null and short texts lose nothing.
-    Rows that repeat ID and text are one document, returned as often as they
-    come. Other columns are not read.
+    Every row is a document: of rows that repeat ID and text all lose their bytes. Other columns are not read.
     """
-    rows = id_and_text(docs, id_col, text_col).select(
-        content_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
-    )
-    schema = "key binary, doc_id long, n_bytes long, sha256 string, rights array<long>, lefts array<long>"
-    base = map_batches(rows, _anchored, schema).withColumn("num", F.monotonically_increasing_id())
-    base = written(base, "anchors")
-    twice = base.groupBy("key").agg(F.min("num").alias("first"), F.count("*").alias("n")).where("n > 1")
-    single = base.join(twice.select("key", "first"), "key", "left").where("first IS NULL OR first = num")
-
-    def exploded(column: str, side: int) -> DataFrame:
-        return single.select("num", F.lit(side).alias("side"), F.posexplode(column).alias("place", "hash")).where("hash != 0")
-
-    sides = exploded("rights", 1).union(exploded("lefts", 2))
-    # a left side that is the right one has been hashed once more, so the two never meet
-    shared = sides.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    marks = sides.join(shared, "hash").groupBy("num").agg(F.collect_list(F.struct("place", "side")).alias("marks"))
-    marked = written(single.select("num", "key").join(marks, "num"), "marked")
-    texts = keep_matching(rows.select("key", "text"), marked, "key").dropDuplicates(["key"])
-    texts = written(texts.join(marked, "key"), "marked-texts")
-
-    pieces = written(map_batches(texts.select("num", "text", "marks"), _cut, "num long, begin long, end long, gram long, a long, b long"), "pieces")
-    distinct = pieces.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("num", "begin", "end", "gram")).alias("one"))
-    distinct = written(distinct.select("a", "b", "n", "one.*"), "distinct-pieces")
-    grams = distinct.groupBy("gram").agg(F.count("*").alias("n_pieces"), F.sum(F.col("end") - F.col("begin")).alias("size"))
-    # a piece that no other has the anchor of may still repeat itself
-    homes = written(distinct.join(grams.select("gram", "size"), "gram"), "homes")
-    hot = F.col("size") > SHARD // 2
-    total = homes.where(~hot).agg(F.sum(F.col("end") - F.col("begin"))).first()[0] or 0
-    shards = max(1, -(-int(total) // SHARD))
-
-    def with_text(chosen: DataFrame) -> DataFrame:
-        lists = chosen.groupBy("num").agg(F.collect_list(F.struct("gram", "a", "b", "begin", "end")).alias("pieces"))
-        return map_batches(
-            texts.select("num", "text").join(lists, "num").select("text", "pieces"), _texts, "gram long, a long, b long, piece binary"
+    spark = docs.sparkSession
+    with temporary_tables(spark):
+        rows = id_and_text(docs, id_col, text_col).select(
+            content_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
         )
-
-    dealt = with_text(homes.where(~hot)).withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)).cast("int"))
-    spans = dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(_sorted_shard, "a long, b long, `from` long, `to` long")
-    spread_size = homes.where(hot).agg(F.sum(F.col("end") - F.col("begin"))).first()[0] or 0
-    removed = spans
-    if spread_size:
-        parts = -(-int(spread_size) * 4 // SHARD)
-        strings = with_text(homes.where(hot)).withColumn("shard", F.pmod(F.xxhash64("a", "b"), F.lit(parts)).cast("int"))
-        strings = written(
-            strings.repartition(parts, "shard").groupBy("shard")
-            .applyInArrow(_spread_shard, "a long, b long, `from` long, `to` long, c long, d long"), "strings",
+        schema = "key binary, doc_id long, n_bytes long, sha256 string, rights array<long>, lefts array<long>"
+        base = map_batches(rows, _anchored, schema).withColumn("num", F.monotonically_increasing_id())
+        base = written(base, "anchors")
+        total = base.count()
+        twice = written(base.groupBy("key").agg(F.min("num").alias("first"), F.count("*").alias("times")).where("times > 1"), "repeated-rows")
+        named = written(join_split(base.select("key", "doc_id", "n_bytes", "sha256", "num"), twice, "key", "times", total, "left"), "rows")
+        single = keep_matching(base, named.where("first != num"), "num", "left_anti")
+        marked = _marked(single, total)
+        texts = keep_matching(rows.select("key", "text"), marked, "key").dropDuplicates(["key"])
+        texts = written(texts.join(marked, "key"), "marked-texts")
+        by_doc = _repeated_spans(texts)
+        cut = map_batches(
+            texts.select("num", "key", "text").join(by_doc, "num").select("key", "text", "spans"), _kept,
+            "key binary, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:long,end:long>>",
+        )
+        # a row that comes more than once is repeated from end to end
+        whole = F.col("times").isNotNull() & (F.col("n_bytes") >= LENGTH)
+        spans = "array<struct<begin:bigint,end:bigint>>"
+        everything = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")))
+        joined = named.where(~whole).join(cut, "key", "left").select(
+            "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
+            F.coalesce("kept_sha256", "sha256").alias("kept_sha256"), F.coalesce("spans", F.array().cast(spans)).alias("spans"),
         )
-        # no more strings than bytes: eight slices a part hold a few megabytes of digests each
-        lots = parts * 8
-        sliced = strings.where("c IS NOT NULL").withColumn("slice", F.pmod(F.xxhash64("c", "d"), F.lit(lots)).cast("int"))
-        merged = sliced.groupBy("slice").applyInArrow(_merged, "a long, b long, `from` long, `to` long")
-        removed = removed.union(strings.where("c IS NULL").select("a", "b", "from", "to")).union(merged)
-    whole = distinct.where("n > 1").select("a", "b", F.lit(0).cast("long").alias("from"), (F.col("end") - F.col("begin")).alias("to"))
-    removed = written(removed.union(whole), "repeated-spans")
-    by_doc = (
-        pieces.select("num", "begin", "a", "b").join(removed, ["a", "b"])
-        .groupBy("num").agg(F.collect_set(F.struct((F.col("begin") + F.col("from")).alias("begin"), (F.col("begin") + F.col("to")).alias("end"))).alias("spans"))
-    )
-    cut = map_batches(
-        texts.select("num", "key", "text").join(by_doc, "num").select("key", "text", "spans"), _kept,
-        "key binary, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:long,end:long>>",
-    )
-    return base.join(cut, "key", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
-        F.coalesce("kept_sha256", "sha256").alias("kept_sha256"),
-        F.coalesce("spans", F.array().cast("array<struct<begin:bigint,end:bigint>>")).alias("spans"),
-    )
+        gone = named.where(whole).select(
+            "doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+            F.sha2(F.lit("").cast("binary"), 256).alias("kept_sha256"), everything.cast(spans).alias("spans"),
+        )
+        return written(joined.union(gone), "kept-bytes", keep=True)
+
+
+def _marked(single: DataFrame, total: int) -> DataFrame:
+    """num, key and marks (pieces, with the sides that another piece has too) of the documents that have any."""
+    with temporary_tables(single.sparkSession):
+
+        def exploded(column: str, side: int) -> DataFrame:
+            return single.select("num", F.lit(side).alias("side"), F.posexplode(column).alias("place", "hash")).where("hash != 0")
+
+        sides = exploded("rights", 1).union(exploded("lefts", 2))
+        # a left side that is the right one has been hashed once more, so the two never meet
+        shared = written(sides.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "shared-sides")
+        found = join_split(sides, shared, "hash", "n", total)
+        marks = found.groupBy("num").agg(F.collect_list(F.struct("place", "side")).alias("marks"))
+        return written(single.select("num", "key").join(marks, "num"), "marked", keep=True)
+
+
+def _repeated_spans(texts: DataFrame) -> DataFrame:
+    """num and spans of the documents that hold repeated strings."""
+    spark = texts.sparkSession
+    with temporary_tables(spark):
+        pieces = written(map_batches(texts.select("num", "text", "marks"), _cut, "num long, begin long, end long, gram long, a long, b long"), "pieces")
+        distinct = pieces.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("num", "begin", "end", "gram")).alias("one"))
+        distinct = written(distinct.select("a", "b", "n", "one.*"), "distinct-pieces")
+        grams = distinct.groupBy("gram").agg(F.sum(F.col("end") - F.col("begin")).alias("size"))
+        # a piece that no other has the anchor of may still repeat itself
+        homes = written(distinct.join(grams, "gram"), "homes")
+        hot = F.col("size") > SHARD // 2
+        cold_size, hot_size = homes.agg(*(F.coalesce(F.sum(F.when(c, F.col("end") - F.col("begin"))), F.lit(0)) for c in (~hot, hot))).first()
+        shards = max(1, -(-int(cold_size) // SHARD))
+
+        def with_text(chosen: DataFrame) -> DataFrame:
+            lists = chosen.groupBy("num").agg(F.collect_list(F.struct("gram", "a", "b", "begin", "end")).alias("pieces"))
+            return map_batches(
+                texts.select("num", "text").join(lists, "num").select("text", "pieces"), _texts, "gram long, a long, b long, piece binary"
+            )
+
+        schema = "a long, b long, spans array<struct<from:long,to:long>>"
+        dealt = with_text(homes.where(~hot)).withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)).cast("int"))
+        removed = dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(_sorted_shard, schema)
+        if hot_size:
+            parts = -(-int(hot_size) * 4 // SHARD)
+            strings = with_text(homes.where(hot)).withColumn("shard", F.pmod(F.xxhash64("a", "b"), F.lit(parts)).cast("int"))
+            strings = written(strings.repartition(parts, "shard").groupBy("shard").applyInArrow(_spread_shard(parts), _SPREAD), "strings")
+            # no more strings than bytes: a slice of all is as large as what one shard has
+            merged = strings.where("slice IS NOT NULL").select("slice", "strings").groupBy("slice").applyInArrow(_merged, schema)
+            removed = removed.union(strings.where("slice IS NULL").select("a", "b", "spans")).union(merged)
+        whole = distinct.where("n > 1").select(
+            "a", "b", F.array(F.struct(F.lit(0).cast("long").alias("from"), (F.col("end") - F.col("begin")).alias("to"))).alias("spans")
+        )
+        # one row a piece, so that a piece of many documents is joined once for each
+        removed = removed.union(whole).groupBy("a", "b").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+        removed = written(removed.join(distinct.select("a", "b", "n"), ["a", "b"]), "repeated-spans")
+        moved = F.transform("spans", lambda x: F.struct((F.col("begin") + x["from"]).alias("begin"), (F.col("begin") + x["to"]).alias("end")))
+        found = join_split(pieces.select("num", "begin", "a", "b"), removed, ["a", "b"], "n", pieces.count())
+        by_doc = found.select("num", moved.alias("spans")).groupBy("num").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        return written(by_doc, "spans-by-document", keep=True)
