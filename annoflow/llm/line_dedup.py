@@ -15,8 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from annoflow.llm.common import content_key, id_and_text, join_counted, keep_matching, one_row_each
-from annoflow.session import written
+from annoflow.llm.common import content_key, id_and_text, join_counted, keep_matching, one_row_each, shielded, with_key
+from annoflow.session import temporary_tables, written
 
 #: Least share of common words, as a fraction: 4 / 5.
 NUMERATOR, DENOMINATOR = 4, 5
@@ -96,72 +96,104 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     that has any. Lines end at newlines; blank ones match nothing. Words are told
     apart by 56 bits of their hash while candidates are sought and by 64 when they are verified.
     Null and empty texts are one blank line. Rows that repeat ID and text are one document; a null
-    ID comes before all others. Other columns are not read.
+    ID comes before all others, and of texts with one ID the one with the smaller digest of ID and text comes first. Other
+    columns are not read.
     """
-    rows = id_and_text(docs, id_col, text_col).select(
-        content_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
-    )
-    single = one_row_each(rows)
-    lines = single.select("key", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    coded = lines.withColumn("classes", rarity_classes(single).scalar())
-    coded = coded.withColumn("codes", _codes(word_hashes(F.col("line")), F.col("classes"))).withColumn("n", F.size("codes"))
-    base = coded.where("n > 0").select(
-        F.monotonically_increasing_id().alias("num"), "key", "doc_id", "line_no", F.unhex(F.md5(F.col("line").cast("binary"))).alias("lid"),
-        "n", F.slice("codes", F.lit(1), _prefix(F.col("n")).cast("int")).alias("prefix"),
-        _parity(F.col("codes"), 0).alias("even"), _parity(F.col("codes"), 1).alias("odd"),
-    )
-    base = written(base, "lines")
-    order = F.struct(F.col("doc_id"), F.col("num"))
-
-    copies = base.groupBy("lid").agg(F.min(order).alias("first"), F.count("*").alias("times")).where("times > 1")
-    copies = written(copies.select("lid", F.col("first.num").alias("first_num")), "copied-lines")
-    marked = join_counted(base, copies, "lid", "left")
-    again = marked.where("first_num != num").select("key", "line_no")
-    firsts = marked.where("first_num IS NULL OR first_num = num")
-
-    # what most words of a prefix need is to be found in no other: so few columns as can be go there
-    shape = F.col("n").cast("long") * (1 << 32) + F.col("pos")
-    listed = firsts.select("num", "n", F.posexplode("prefix").alias("pos", "code")).select("code", "num", shape.alias("shape"))
-    shared = listed.groupBy("code").agg(F.count("*").alias("times")).where("times > 1").select("code")
-    listed = listed.join(shared, "code", "left_semi")
-    placed = listed.join(firsts.select("num", "doc_id"), "num").select(
-        "code", "num", "doc_id", F.shiftright("shape", 32).cast("int").alias("n"), F.col("shape").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos")
-    )
-    placed = written(placed, "listed-words")
-    heads = placed.groupBy("code").agg(F.min(F.struct("doc_id", "num", "n", "pos")).alias("head"))
-    placed = written(placed.join(heads, "code"), "shared-words")
-
-    # the earliest line of each list meets the others
-    led = placed.where((F.col("head.num") != F.col("num")) & _can_match(F.col("head.n"), F.col("head.pos"), F.col("n"), F.col("pos")))
-    first_pairs = led.select(F.col("head.num").alias("x"), F.col("num").alias("y")).distinct()
-    done = written(_verified(first_pairs, base, rows), "first-matches")
-
-    # the rest: lists by length and position, then their lines
-    groups = placed.groupBy("code", F.col("n").alias("m"), F.col("pos").alias("at")).agg(F.min(F.struct("doc_id", "num")).alias("earliest"))
-    left = placed.join(done.select(F.col("y").alias("num")).distinct(), "num", "left_anti").where(F.col("head.num") != F.col("num"))
-    left = left.select("code", "num", "doc_id", "n", "pos", order.alias("own"))
-    aimed = left.join(groups, "code").where(
-        (F.col("earliest") < F.col("own")) & _can_match(F.col("m"), F.col("at"), F.col("n"), F.col("pos"))
-    ).select("code", "m", "at", F.col("num").alias("y"), "own")
-    earlier = placed.select("code", F.col("n").alias("m"), F.col("pos").alias("at"), F.col("num").alias("x"), order.alias("other"))
-    pairs = aimed.join(earlier, ["code", "m", "at"]).where(F.col("other") < F.col("own")).select("x", "y").distinct()
-    matches = done.union(_verified(pairs, base, rows))
-    similar = base.join(matches.select(F.col("y").alias("num")).distinct(), "num", "left_semi").select("key", "line_no")
-
-    return written(again.union(similar).groupBy("key").agg(F.collect_set("line_no").alias("removed")), "removed-lines")
-
-
-def without_lines(docs: DataFrame, removed: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` (with their ``content_key`` as key) with the lines of ``removed`` taken out of their
-    texts, and n_lines and n_removed. Texts without such lines, null ones too, stay as they are."""
-    joined = docs.join(removed, "key", "left").withColumn("_lines", F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("removed"))
-    kept = F.array_join(F.transform(stay, lambda i: F.element_at(F.col("_lines"), i + 1)), "\n")
-    return (
-        joined.withColumn(text_col, F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(kept))
-        .withColumn("n_lines", F.size("_lines").cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("removed"), F.lit(0)).cast("long")).drop("_lines", "removed")
-    )
+    spark = docs.sparkSession
+    with temporary_tables(spark):
+        rows = id_and_text(docs, id_col, text_col).select(
+            content_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
+        )
+        single = one_row_each(rows)
+        base = _coded_lines(single)
+        copies = base.groupBy("lid").agg(F.min(_order("num")).alias("first"), F.count("*").alias("times")).where("times > 1")
+        copies = written(copies.select("lid", F.col("first.num").alias("first_num")), "copied-lines")
+        marked = join_counted(base, copies, "lid", "left")
+        again = marked.where("first_num != num").select("key", "line_no")
+        firsts = marked.where("first_num IS NULL OR first_num = num")
+        placed = _shared_words(firsts)
+
+        # the earliest line of each list meets the others
+        led = placed.where((F.col("head.num") != F.col("num")) & _can_match(F.col("head.n"), F.col("head.pos"), F.col("n"), F.col("pos")))
+        done = _verified(led.select(F.col("head.num").alias("x"), F.col("num").alias("y")).distinct(), base, rows)
+
+        # the rest: lists by length and position, then their lines
+        groups = placed.groupBy("code", F.col("n").alias("m"), F.col("pos").alias("at")).agg(F.min(_order("num")).alias("earliest"))
+        left = placed.join(done.select(F.col("y").alias("num")).distinct(), "num", "left_anti").where(F.col("head.num") != F.col("num"))
+        left = left.select("code", "num", "n", "pos", _order("num").alias("own"))
+        aimed = left.join(groups, "code").where(
+            (F.col("earliest") < F.col("own")) & _can_match(F.col("m"), F.col("at"), F.col("n"), F.col("pos"))
+        ).select("code", "m", "at", F.col("num").alias("y"), "own")
+        aimed = written(aimed, "aimed-words")
+        earlier = placed.select("code", F.col("n").alias("m"), F.col("pos").alias("at"), F.col("num").alias("x"), _order("num").alias("other"))
+        pairs = aimed.join(earlier, ["code", "m", "at"]).where(F.col("other") < F.col("own")).select("x", "y").distinct()
+        matches = done.union(_verified(pairs, base, rows))
+        similar = base.join(matches.select(F.col("y").alias("num")).distinct(), "num", "left_semi").select("key", "line_no")
+        found = again.union(similar).groupBy("key").agg(F.collect_set("line_no").alias("removed"))
+        return written(found, "removed-lines", keep=True)
+
+
+def _order(num: str) -> Column:
+    """Lines in the order of their documents; numbers go up within a document."""
+    return F.struct("doc_id", "tie", num)
+
+
+def _coded_lines(single: DataFrame) -> DataFrame:
+    """A row for each line with words: number, document, digest, words in its set, the first of
+    their codes, and bits of all. ``tie`` orders the texts that share an ID, and is 0 where none does."""
+    with temporary_tables(single.sparkSession):
+        repeated = single.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1 AND doc_id IS NOT NULL")
+        shares = join_counted(single, written(repeated, "repeated-ids"), "doc_id", "left")
+        tie = F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("long")
+        tied = shares.withColumn("tie", F.when(F.col("texts").isNotNull() | F.col("doc_id").isNull(), tie).otherwise(F.lit(0).cast("long")))
+        lines = tied.select("key", "doc_id", "tie", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        coded = lines.withColumn("classes", rarity_classes(single).scalar())
+        coded = coded.withColumn("codes", _codes(word_hashes(F.col("line")), F.col("classes"))).withColumn("n", F.size("codes"))
+        base = coded.where("n > 0").select(
+            F.monotonically_increasing_id().alias("num"), "key", "doc_id", "tie", "line_no",
+            F.unhex(F.md5(F.col("line").cast("binary"))).alias("lid"), "n",
+            F.slice("codes", F.lit(1), _prefix(F.col("n")).cast("int")).alias("prefix"),
+            _parity(F.col("codes"), 0).alias("even"), _parity(F.col("codes"), 1).alias("odd"),
+        )
+        return written(base, "lines", keep=True)
+
+
+def _shared_words(firsts: DataFrame) -> DataFrame:
+    """The words of prefixes that several lines have, with the lines, and the earliest line of each word."""
+    with temporary_tables(firsts.sparkSession):
+        with temporary_tables(firsts.sparkSession):
+            # what most words of a prefix need is to be found in no other: so few columns as can be go there
+            shape = F.col("n").cast("long") * (1 << 32) + F.col("pos")
+            listed = firsts.select("num", "n", F.posexplode("prefix").alias("pos", "code")).select("code", "num", shape.alias("shape"))
+            shared = listed.groupBy("code").agg(F.count("*").alias("times")).where("times > 1").select("code")
+            listed = written(listed.join(shared, "code", "left_semi"), "listed-words")
+            placed = listed.join(firsts.select("num", "doc_id", "tie"), "num").select(
+                "code", "num", "doc_id", "tie", F.shiftright("shape", 32).cast("int").alias("n"),
+                F.col("shape").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"),
+            )
+            placed = written(placed, "placed-words", keep=True)
+        heads = placed.groupBy("code").agg(F.min(F.struct("doc_id", "tie", "num", "n", "pos")).alias("head"))
+        return written(placed.join(heads.select("code", F.struct("head.num", "head.n", "head.pos").alias("head")), "code"), "shared-words", keep=True)
+
+
+def without_lines(
+    docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False
+) -> DataFrame:
+    """``docs`` with the lines that ``later_lines`` found taken out of their texts. Texts without such lines, null
+    ones too, stay as they are, and so do all other columns; with ``counts`` n_lines and n_removed
+    come after them, in place of columns of these names."""
+    names = [n for n in docs.columns if not counts or n not in ("n_lines", "n_removed")]
+    safe, back = shielded(docs.select(names), id_col, text_col)
+    keyed = with_key(safe.withColumnsRenamed({id_col: "doc_id", text_col: "text"}))
+    joined = keyed.join(removed, "key", "left").withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("removed"))
+    kept = F.array_join(F.transform(stay, lambda i: F.element_at(F.col("lines"), i + 1)), "\n")
+    done = joined.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))
+    done = done.withColumnsRenamed({"doc_id": id_col, "text": text_col})
+    if not counts:
+        return back(done)
+    n_removed = F.coalesce(F.size("removed"), F.lit(0)).cast("long")
+    return done.select(*safe.columns, F.size("lines").cast("long"), n_removed).toDF(*names, "n_lines", "n_removed")
 
 
 def _verified(pairs: DataFrame, base: DataFrame, rows: DataFrame) -> DataFrame:
@@ -170,6 +202,11 @@ def _verified(pairs: DataFrame, base: DataFrame, rows: DataFrame) -> DataFrame:
     The bits in which two lines differ bound the words in which they do from below; what that
     leaves is compared word by word.
     """
+    with temporary_tables(base.sparkSession):
+        return written(_similar(pairs, base, rows), "matches", keep=True)
+
+
+def _similar(pairs: DataFrame, base: DataFrame, rows: DataFrame) -> DataFrame:
     bits = base.select("num", "n", "even", "odd")
     sides = [bits.select(F.col("num").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("n", "even", "odd"))) for side in "xy"]
     apart = sum(F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in ("even", "odd"))
@@ -195,11 +232,13 @@ def _verified(pairs: DataFrame, base: DataFrame, rows: DataFrame) -> DataFrame:
 
 LINES_SQL = """
 WITH docs AS (
-  SELECT row_number() OVER (ORDER BY doc_id, coalesce(text, '')) AS row, doc_id, coalesce(text, '') AS text FROM documents),
+  SELECT doc_id, coalesce(text, '') AS text, count(*) AS times,
+         row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(concat(coalesce(doc_id::VARCHAR, ''), chr(0), coalesce(text, '')))) AS row
+  FROM documents GROUP BY doc_id, coalesce(text, '')),
 lines AS (
-  SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM docs),
+  SELECT row, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM docs),
 worded AS (
-  SELECT row_number() OVER (ORDER BY row, place) AS num, row, doc_id, place,
+  SELECT row_number() OVER (ORDER BY row, place) AS num, row, place, line,
          list_distinct(list_filter(regexp_split_to_array(line, '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '')) AS words FROM lines),
 tokens AS (SELECT num, len(words) AS n, unnest(words) AS word FROM worded),
 ranked AS (
@@ -211,8 +250,10 @@ pairs AS (
   WHERE a.num < b.num AND a.n * 5 >= b.n * 4 AND b.n * 5 >= a.n * 4),
 matched AS (
   SELECT DISTINCT y AS num FROM pairs JOIN worded a ON a.num = x JOIN worded b ON b.num = y
-  WHERE len(list_intersect(a.words, b.words)) * 9 >= (len(a.words) + len(b.words)) * 4)
-SELECT doc_id, count(*) AS n_lines, count(matched.num) AS n_removed,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY lines.place) FILTER (WHERE matched.num IS NULL), '')) AS kept_sha256
-FROM lines JOIN worded USING (row, doc_id, place) LEFT JOIN matched USING (num) GROUP BY lines.row, doc_id
+  WHERE len(list_intersect(a.words, b.words)) * 9 >= (len(a.words) + len(b.words)) * 4),
+cleaned AS (
+  SELECT row, count(*) AS n_lines, count(matched.num) AS n_removed,
+         sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE matched.num IS NULL), '')) AS kept_sha256
+  FROM worded LEFT JOIN matched USING (num) GROUP BY row)
+SELECT doc_id, n_lines, n_removed, kept_sha256 FROM (SELECT *, unnest(range(times)) FROM docs) JOIN cleaned USING (row)
 """

@@ -10,7 +10,7 @@ from annoflow.llm import (
     chunk_dedup, decontaminate, exact_dedup, fill_middle, graph_search, licenses, line_dedup, near_dup, pieces, quality, suffix_dedup,
     token_counts, whitening,
 )
-from annoflow.llm.common import Query, table, with_key
+from annoflow.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -63,7 +63,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(line_dedup.LINES_SQL)
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    kept = line_dedup.without_lines(with_key(docs.select("doc_id", "text")), line_dedup.later_lines(docs))
+    kept = line_dedup.without_lines(docs.select("doc_id", "text"), line_dedup.later_lines(docs), counts=True)
     text = F.coalesce("text", F.lit("")).cast("binary")
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(text, 256).alias("kept_sha256"))
 

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tests_support import CLASHING
+
 
 @pytest.fixture(scope="session")
 def make_docs(spark):
@@ -8,7 +10,7 @@ def make_docs(spark):
 
     def make(rows):
         docs = spark.createDataFrame(rows, "doc_id long, text string")
-        extra = {n: F.lit(n) for n in ("key", "num", "n_words", "words", "class", "score", "line", "a", "source")}
+        extra = {n: F.lit(n) for n in CLASHING}
         return docs.withColumns(extra)
 
     return make

@@ -4,13 +4,13 @@ import hashlib
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
 from annoflow.llm import chunk_dedup, near_dup, suffix_dedup
-from annoflow.llm.common import with_key
 from annoflow.llm.components import components
-from annoflow.llm.line_dedup import later_lines, without_lines
+from annoflow.llm.line_dedup import LINES_SQL, later_lines, without_lines
 
 
 def prose(draw, n, words="the of and ing tion ent her ation was with from that blend stone river cloud"):
@@ -58,10 +58,12 @@ def test_suffix_dedup(make_docs, repeated_texts, monkeypatch, small):
     assert got == dict(enumerate(brute_repeats(repeated_texts)))
 
 
-def test_suffix_dedup_takes_repeated_rows_for_one_document(make_docs):
-    text = prose(random.Random(2), 200)
-    rows = suffix_dedup.repeated_bytes(make_docs([(1, text), (1, text), (None, "abc")])).collect()
-    assert [r.n_removed for r in rows] == [0, 0, 0]
+def test_suffix_dedup_counts_repeated_rows(make_docs):
+    draw = random.Random(2)
+    text, other = prose(draw, 200), prose(draw, 90)
+    rows = [(1, text), (1, text), (2, "x" + text[5:700]), (None, "abc"), (None, "abc"), (None, other), (None, other), (3, other[:399])]
+    got = suffix_dedup.repeated_bytes(make_docs(rows)).collect()
+    assert Counter((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter(brute_repeats([t for _, t in rows]))
     assert suffix_dedup.repeated_bytes(make_docs([])).count() == 0
 
 
@@ -184,8 +186,8 @@ def test_line_dedup(make_docs):
     near = [" ".join(base[:i] + ["new%d" % i] + base[i + draw.randrange(1, 9) :]) for i in range(30)]
     rows = [(i, "\n".join(draw.choice([*lines, *near, "", "  ", prose(draw, 9)]) for _ in range(draw.randrange(1, 9)))) for i in range(60)]
     rows += [(90, None), (91, ""), (92, "\n\n"), (93, "a"), (94, "a\ta  a"), (95, " ".join(base * 300))]
-    docs = make_docs(rows).drop("key")
-    got = without_lines(with_key(docs), later_lines(docs)).collect()
+    docs = make_docs(rows)
+    got = without_lines(docs, later_lines(docs), counts=True).collect()
     want = brute_lines(rows)
     assert {r.doc_id: r.text or "" for r in got} == want
     assert all(r.n_lines - r.n_removed == len(want[r.doc_id].split("\n")) or want[r.doc_id] == "" for r in got)
@@ -193,11 +195,29 @@ def test_line_dedup(make_docs):
 
 def test_line_dedup_of_nothing_and_of_repeated_rows(make_docs):
     assert later_lines(make_docs([])).count() == 0
-    docs = make_docs([(1, "one two\nthree"), (1, "one two\nthree"), (None, "three")]).drop("key")
-    got = without_lines(with_key(docs), later_lines(docs)).collect()
+    docs = make_docs([(1, "one two\nthree"), (1, "one two\nthree"), (None, "three")])
+    got = without_lines(docs, later_lines(docs), counts=True).collect()
+    assert {(r.key, r.num, r.a) for r in got} == {("key", "num", "a")}
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "three"), (1, "one two"), (1, "one two")]
 
 
+def test_line_dedup_agrees_with_sql_on_odd_rows(spark, make_docs):
+    draw = random.Random(21)
+    line = lambda: " ".join(draw.sample("a b c d e f g h i j".split(), 6))
+    text = lambda: "\n".join(line() for _ in range(5))
+    one, two = text(), text()
+    rows = [(3, one), (3, one), (3, two), (3, text()), (None, one), (None, text()), (None, None), (2, two), (5, ""), (5, None), (4, two + "\n" + one)]
+    draw.shuffle(rows)
+    for parts in (1, 4):
+        docs = make_docs(rows).repartition(parts)
+        kept = without_lines(docs, later_lines(docs), counts=True)
+        got = Counter((r.doc_id, r.n_lines, r.n_removed, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in kept.collect())
+        con = duckdb.connect()
+        con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+        assert got == Counter(con.sql(LINES_SQL).fetchall())
+
+
 # --- near duplicates --------------------------------------------------------------
 
 
@@ -218,11 +238,18 @@ def test_banded_alignment():
         a = [draw.choice("abcdefgh") for _ in range(draw.randrange(40))]
         b = [x for x in a if draw.random() > 0.1] + [draw.choice("xyz")] * draw.randrange(6)
         pairs.append((a, b))
+    for _ in range(200):
+        a = ["w%d" % draw.randrange(60) for _ in range(draw.randrange(60))]
+        b = [x if draw.random() > 0.2 else "v%d" % draw.randrange(9) for x in a if draw.random() > 0.05]
+        at = draw.randrange(len(b) + 1)
+        pairs.append((a, draw.choice([b, b[at:] + b[:at], b[:at] + ["new"] + b[at:]])))
     hashes = [[near_dup.word_hashes(" ".join(x)) for x in side] for side in zip(*pairs)]
     want = [word_edits(a, b) for a, b in pairs]
     for band in (2, 9, 50):
         found = near_dup.edits_within(*hashes, band)
         assert all(f == w for f, w in zip(found, want) if min(f, w) <= band)
+    for x, y, w in zip(*hashes, want):
+        assert near_dup.edits_at_least(x, y) <= w <= near_dup.edits_at_most(x, y)
     assert near_dup.similar(*hashes, 0.8) == [w <= near_dup.allowed(len(a), len(b), 0.8) for w, (a, b) in zip(want, pairs)]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from annoflow.llm import decontaminate, near_dup, quality
 from annoflow.llm.queries import QUERIES, SQL
-from tests_support import brute_lines_of
+from tests_support import CLASHING, brute_lines_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,6 +54,17 @@ def test_pipeline(spark):
     assert final.decoded_equal.all()
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(120)
+    extra = docs.withColumns({n: F.concat(F.lit(n + "-"), F.col("doc_id").cast("string")) for n in CLASHING})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, extra, SF)
+        assert kept.columns == extra.columns, name
+        rows = kept.collect()
+        assert rows and all(r[n] == f"{n}-{r.doc_id}" for r in rows for n in CLASHING), name
+    assert corpus_pipeline.STAGES[-1][1](spark, extra, SF).count() == 120
+
+
 def test_pipeline_writes_what_stages_read(spark, monkeypatch):
     read = []
 

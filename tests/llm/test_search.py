@@ -60,17 +60,17 @@ def suspects():
 def test_contamination(spark, make_docs, suspects):
     docs, items = suspects
     table = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS key", "2 AS words")
-    got = decontaminate.contamination(make_docs(docs).drop("key"), table).collect()
+    got = decontaminate.contamination(make_docs(docs), table).collect()
     assert {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in got} == brute_contamination(docs, items)
     assert all(r.contaminated == (r.n_hit > 0) for r in got)
 
 
 def test_contamination_of_and_by_nothing(spark, make_docs):
     none = spark.createDataFrame([], "item_id long, text string")
-    got = decontaminate.contamination(make_docs([(1, "a b"), (1, "a b"), (None, None)]).drop("key"), none).collect()
+    got = decontaminate.contamination(make_docs([(1, "a b"), (1, "a b"), (None, None)]), none).collect()
     assert sorted((r.n_words, r.n_hit, r.n_items) for r in got) == [(0, 0, 0), (2, 0, 0), (2, 0, 0)]
     items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
-    assert decontaminate.contamination(make_docs([]).drop("key"), items).count() == 0
+    assert decontaminate.contamination(make_docs([]), items).count() == 0
 
 
 @pytest.mark.parametrize("slop", [0, 1, 3])

@@ -1,4 +1,10 @@
-"""Brute force that several tests share."""
+"""Brute force and names that several tests share."""
+
+#: Names that the operators use for columns of their own.
+CLASHING = (
+    "key num n_words words class score line a b source removed lines n_lines n_removed held_out predicted kept bucket label links "
+    "times n size hash print digest plain tie content pos term wid x y done"
+).split()
 
 
 def brute_lines_of(docs):
