@@ -10,6 +10,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -19,12 +20,24 @@ BATCH_BYTES = 32 << 20
 
 
 def locate(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path for a plain path or a URI (``file:``, ``hdfs:``, ``s3:`` ...)."""
+    """File system and path for a plain path or a URI (``file:``, ``hdfs:``, ``s3:``, ``s3a:`` ...).
+
+    Only the scheme and the host of a URI are taken apart; the rest is a path as it stands, so that IDs below a root
+    may hold any character (``#``, ``?``, ``%``).
+    """
     if path.startswith("file:"):
         return pafs.LocalFileSystem(), re.sub(r"^file:/*", "/", path)
-    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*://", path):
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+    found = re.match(r"([A-Za-z][A-Za-z0-9+.-]*)://([^/]*)(.*)", path, re.S)
+    if found is None:
+        return pafs.LocalFileSystem(), path
+    scheme, host, rest = found.groups()
+    system, base = _connected("s3" if scheme in ("s3a", "s3n") else scheme, host)
+    return system, base.rstrip("/") + (rest or "/")
+
+
+@lru_cache
+def _connected(scheme: str, host: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(f"{scheme}://{host}/")
 
 
 def open_input(path: str) -> pa.NativeFile:

@@ -660,3 +660,24 @@ def test_lookup_scans_documents_once(spark, tmp_path):
         missing = {r["doc_id"] for r in rows if r["load_error"]}
         assert missing == {str(3 * i) for i in range(200, 300) if 3 * i >= 500}
         assert all(r["load_error"] == f"Unknown document {r['doc_id']}" for r in rows if r["doc_id"] in missing)
+
+
+def test_paths_below_a_uri_are_taken_as_they_stand(monkeypatch):
+    asked = []
+
+    def from_uri(uri):
+        asked.append(uri)
+        scheme, rest = uri.split("://")
+        return f"{scheme} system", rest.rstrip("/") if scheme == "s3" else "/"
+
+    storage._connected.cache_clear()
+    monkeypatch.setattr(storage.pafs, "FileSystem", type("Fake", (), {"from_uri": staticmethod(from_uri)}))
+    try:
+        odd = "a b/c#d?e=%20.txt"
+        assert storage.locate(storage.join("hdfs://host:9000/in", odd)) == ("hdfs system", "/in/" + odd)
+        assert storage.locate(storage.join("s3a://bucket/in/", odd)) == ("s3 system", "bucket/in/" + odd)
+        assert storage.locate("s3://bucket/x") == ("s3 system", "bucket/x")
+        assert asked == ["hdfs://host:9000/", "s3://bucket/"]
+        assert storage.locate("file:///x/" + odd)[1] == "/x/" + odd and storage.locate("/x/" + odd)[1] == "/x/" + odd
+    finally:
+        storage._connected.cache_clear()
