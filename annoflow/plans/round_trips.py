@@ -169,7 +169,7 @@ def rewritten_chunks(spark, sf_dir):
         files.append(write_chunks(docs.where(F.col("half") == half), root, chunk_bytes=200_000, key=key).select("file"))
     listed = files[1].union(files[2]).select(F.concat(F.lit(root + "/"), "file").alias("path"))
     there = spark.read.text(root, pathGlobFilter="part-*.json").select(F.col("value").alias("json"))
-    rows = json_stream.read_objects(listed, None).union(there)
+    rows = json_stream.read_objects(listed, None).select("json").union(there)
     ids = rows.select(F.get_json_object("json", "$.doc_id").cast("long").alias("doc_id"))
     return ids.groupBy("doc_id").agg(F.count("*").alias("times"))
 
