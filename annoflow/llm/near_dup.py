@@ -15,12 +15,12 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from annoflow.llm.common import content_key, id_and_text, keep_matching, map_batches
 from annoflow.llm.components import components
 from annoflow.llm.hashing import BASE, STEP, mix, prefix_sums, run_hashes
-from annoflow.session import written
+from annoflow.session import temporary_path, temporary_tables, written
 
 #: Sketches of a text.
 SKETCHES = 120
@@ -128,9 +128,10 @@ def allowed(n: int, m: int, similarity: float) -> int:
     return int((1 - similarity) * max(n, m) + 1e-9)
 
 
-def edits_within(a: list[np.ndarray], b: list[np.ndarray], band: int) -> np.ndarray:
+def edits_within(a: list[np.ndarray], b: list[np.ndarray], band: int, most: list[int] | None = None) -> np.ndarray:
     """Word edits (insert, delete, replace) between each a and b, looking only ``band``
-    words off the diagonal: exact where the result is at most ``band``."""
+    words off the diagonal: exact where the result is at most ``band``, and at most ``most`` if that is
+    given. Ends as soon as every pair has more edits than that, whatever follows."""
     many = len(a)
     n, m = np.array([len(x) for x in a]), np.array([len(x) for x in b])
     rows, width = int(n.max(initial=0)), 2 * band + 1
@@ -163,28 +164,74 @@ def edits_within(a: list[np.ndarray], b: list[np.ndarray], band: int) -> np.ndar
         new[:, :] = np.minimum(new, far)
         row = np.minimum.accumulate(new - steps, 1) + steps
         keep(i + 1)
+        if most is not None and i % 64 == 63 and (row.min(1) > most).all():
+            break
     return out
 
 
+def common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two arrays have in common, repeated ones as often as both have them."""
+    u, c = np.unique(x, return_counts=True)
+    v, d = np.unique(y, return_counts=True)
+    _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
+    return int(np.minimum(c[i], d[j]).sum())
+
+
+def edits_at_least(x: np.ndarray, y: np.ndarray) -> int:
+    """A bound from below: an edit takes one word from what both have, and two pairs of neighbours."""
+    longest = max(len(x), len(y))
+    words = longest - common(x, y)
+    if min(len(x), len(y)) < 2:
+        return words
+    pairs = longest - 1 - common(mix(x[:-1] * STEP + x[1:]), mix(y[:-1] * STEP + y[1:]))
+    return max(words, -(-pairs // 2))
+
+
+def edits_at_most(x: np.ndarray, y: np.ndarray) -> int:
+    """A bound from above, from one way to turn x into y: words that each has once, as long as their places
+    go up in both, stay; what stands between two of them is replaced."""
+    u, c = np.unique(x, return_counts=True)
+    v, d = np.unique(y, return_counts=True)
+    both = np.intersect1d(u[c == 1], v[d == 1], assume_unique=True)
+    if not len(both):
+        return max(len(x), len(y))
+    i = np.flatnonzero(np.isin(x, both))
+    order = np.argsort(y, kind="stable")
+    j = order[np.searchsorted(y[order], x[i])]
+    # of places in y that do not go up those far off the usual shift are left out first
+    shift = j - i
+    near = np.abs(shift - np.median(shift)) <= np.abs(len(x) - len(y)) + 8
+    i, j = i[near], j[near]
+    up = j > np.concatenate([[-1], np.maximum.accumulate(j)[:-1]]) if len(j) else np.empty(0, bool)
+    i = np.concatenate([[-1], i[up], [len(x)]])
+    j = np.concatenate([[-1], j[up], [len(y)]])
+    gap_x, gap_y = np.diff(i) - 1, np.diff(j) - 1
+    bound = np.maximum(gap_x, gap_y)
+    for g in np.flatnonzero((gap_x == gap_y) & (gap_x > 0)):
+        # words of a gap as long in both that are the same stay too
+        bound[g] = np.count_nonzero(x[i[g] + 1 : i[g + 1]] != y[j[g] + 1 : j[g + 1]])
+    return int(bound.sum())
+
+
 def measured(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> list[tuple[bool, int]]:
     """Whether each two texts, as word hashes, align with ``similarity`` or more, and
-    the edits between them: exact if they do, else no more than there are.
+    the edits between them: no fewer than there are if they do, else no more than there are.
 
-    Words that one text has and the other has not bound the edits from below.
-    What that leaves is aligned in bands that double until the edits fit in one
-    or the edits allowed do.
+    Bounds from below and above settle most pairs. What they leave is aligned in bands that double until the
+    edits fit in one or the edits allowed do.
     """
     out = [(False, 0)] * len(a)
     left = []
     for p, (x, y) in enumerate(zip(a, b)):
         most = allowed(len(x), len(y), similarity)
-        u, c = np.unique(x, return_counts=True)
-        v, d = np.unique(y, return_counts=True)
-        _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
-        least = max(len(x), len(y)) - int(np.minimum(c[i], d[j]).sum())
+        least = edits_at_least(x, y)
         out[p] = (False, least)
         if least <= most:
-            left.append((p, most))
+            highest = edits_at_most(x, y)
+            if highest <= most:
+                out[p] = (True, highest)
+            else:
+                left.append((p, most))
     band = 8
     while left:
         left.sort(key=lambda q: len(a[q[0]]))
@@ -196,7 +243,7 @@ def measured(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> lis
                 size += 1
             part = left[at : at + size]
             at += size
-            found = edits_within([a[p] for p, _ in part], [b[p] for p, _ in part], band)
+            found = edits_within([a[p] for p, _ in part], [b[p] for p, _ in part], band, [m for _, m in part])
             for (p, most), edits in zip(part, found):
                 if edits <= band or band >= most:
                     out[p] = (True, int(edits)) if edits <= most else (False, most + 1)
@@ -248,13 +295,20 @@ def _aligned(similarity: float):
     return run
 
 
-def _two_steps(links: DataFrame) -> DataFrame:
-    """num, label (the smallest text within two links) and links of each linked text."""
-    both = links.select(F.col("a").alias("num"), F.col("b").alias("other"))
-    both = both.union(both.select(F.col("other").alias("num"), F.col("num").alias("other")))
-    near = both.groupBy("num").agg(F.min(F.least("num", "other")).alias("label"), F.count("*").alias("links"))
-    further = both.join(near.select(F.col("num").alias("other"), "label"), "other").groupBy("num").agg(F.min("label").alias("further"))
-    return near.join(further, "num").select("num", F.least("label", "further").alias("label"), "links")
+def _relabelled(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """num, label (a text it is linked to over any steps, the smallest one known) and links of each
+    linked text, from those before and the new links."""
+    links = new.where("similar").select(F.col("a").alias("num"), F.col("b").alias("other"))
+    links = links.union(links.select(F.col("other").alias("num"), F.col("num").alias("other")))
+    known = labels.select(F.col("num").alias("other"), F.col("label").alias("theirs"))
+    near = links.join(known, "other", "left").groupBy("num").agg(F.min(F.least("num", "other", "theirs")).alias("near"), F.count("*").alias("more"))
+    both = labels.join(near, "num", "full").select(
+        "num", F.least("label", "near").alias("label"), (F.coalesce("links", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("links")
+    )
+    both = written(both, "near-labels")
+    # the label's own label is further on
+    further = both.select(F.col("num").alias("label"), F.col("label").alias("further"))
+    return written(both.join(further, "label", "left").select("num", F.least("label", "further").alias("label"), "links"), "labels")
 
 
 def near_classes(
@@ -277,76 +331,108 @@ def near_classes(
     (C(c, picks) / C(u, picks) for each). Where edits to a fifth are scattered over more than 100 words, it is about
     1e-6. All texts that share a sketch are decided; later rounds lose none.
     """
-    rows = id_and_text(docs, id_col, text_col).select(
-        content_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
-    )
-    schema = "key binary, doc_id long, n_words int, buckets array<long>, bits array<long>, content binary"
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = _sketched(batch)
-        return out.append_column("content", batch.column(3))
-
-    base = map_batches(rows.withColumn("content", F.unhex(F.md5(F.col("text").cast("binary")))), run, schema)
-    base = written(base.withColumn("num", F.monotonically_increasing_id()), "sketches")
-
-    copies = base.groupBy("content").agg(F.min("num").alias("num"), F.count("*").alias("copies"))
-    firsts = base.join(copies.select("num"), "num", "left_semi")
-    placed = firsts.select("num", F.explode("buckets").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    placed = written(placed.join(shared, "bucket"), "buckets")
-    keys = firsts.select("num", "key", "n_words", "bits").join(placed.select("num").distinct(), "num")
-    texts = keep_matching(rows.select("key", "text"), keys, "key").join(keys, "key").dropDuplicates(["num"])
-    texts = written(texts.select("num", "text", "n_words", "bits"), "bucket-texts")
-    sides = [texts.select(F.col("num").alias(x), F.col("n_words").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab"]
-    apart = sum(F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(PARITY))
-    # edits allowed, as ``allowed`` has them; each changes the length by one and the bits by two at most
-    most = F.floor((1 - similarity) * F.greatest("n_a", "n_b") + 1e-9)
-    possible = (F.abs(F.col("n_a") - F.col("n_b")) <= most) & (apart <= 2 * most)
-
-    verdicts: DataFrame | None = None
-    labelled_rows = placed.withColumns({"label": F.col("num"), "links": F.lit(0).cast("long")})
-    pivots_each = 1
-    while True:
-        # one pivot of each part of a bucket; parts are dealt anew each round
-        part = F.pmod(F.xxhash64("num", F.lit(pivots_each)), F.lit(pivots_each))
-        pivots = labelled_rows.groupBy("bucket", part.alias("part")).agg(F.min(F.struct((-F.col("links")).alias("rank"), "num", "label")).alias("pivot"))
-        pivots = written(pivots.select("bucket", F.col("pivot.num").alias("p"), F.col("pivot.label").alias("p_label")), "pivots")
-        if pivots.isEmpty():
-            break
-        met = labelled_rows.join(pivots, "bucket").where("num != p AND label != p_label")
-        pairs = met.select(F.least("num", "p").alias("a"), F.greatest("num", "p").alias("b")).distinct()
-        if verdicts is not None:
-            pairs = pairs.join(verdicts, ["a", "b"], "left_anti")
-        pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(possible).select("a", "b")
-        with_texts = (
-            pairs.join(texts.select(F.col("num").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("num").alias("b"), F.col("text").alias("text_b")), "b")
+    spark = docs.sparkSession
+    with temporary_tables(spark):
+        rows = id_and_text(docs, id_col, text_col).select(
+            content_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
+        )
+        schema = "key binary, doc_id long, n_words int, buckets array<long>, bits array<long>, content binary"
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            out = _sketched(batch)
+            return out.append_column("content", batch.column(3))
+
+        base = map_batches(rows.withColumn("content", F.unhex(F.md5(F.col("text").cast("binary")))), run, schema)
+        base = written(base.withColumn("num", F.monotonically_increasing_id()), "sketches")
+        copies = written(base.groupBy("content").agg(F.min("num").alias("num"), F.count("*").alias("copies")), "different-texts")
+        classes = _classes(rows, base.join(copies.select("num"), "num", "left_semi"), similarity)
+        named = (
+            base.select("num", "key", "doc_id", "content").join(copies.select("content", F.col("num").alias("first_num")), "content")
+            .join(classes.withColumnRenamed("num", "first_num"), "first_num", "left")
+            .withColumn("class", F.coalesce("class", "first_num"))
         )
-        new = written(map_batches(with_texts, _aligned(similarity), "a long, b long, similar boolean"), "alignments")
-        verdicts = new if verdicts is None else verdicts.union(new)
-        # a pivot is decided with all of its bucket; a bucket of texts linked over two steps needs no more
-        left = labelled_rows.select("bucket", "num").join(pivots.select("bucket", F.col("p").alias("num")), ["bucket", "num"], "left_anti")
-        named = left.join(_two_steps(verdicts.where("similar")), "num", "left").withColumns(
-            {"label": F.coalesce("label", "num"), "links": F.coalesce("links", F.lit(0))}
+        named = written(named.select("num", "key", "doc_id", "class"), "classes")
+        first = named.groupBy("class").agg(
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "num")).alias("first"), F.count("*").alias("class_size")
         )
-        mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        labelled_rows = written(named.join(mixed.select("bucket"), "bucket"), "undecided")
-        pivots_each *= 2
-
-    classes = None
-    if verdicts is not None:
-        classes = components(verdicts.where("similar"), "a", "b").select(F.col("node").alias("num"), F.col("component").alias("class"))
-    if classes is None:
-        classes = base.sparkSession.createDataFrame([], "num long, class long")
-    named = (
-        base.select("num", "key", "doc_id", "content").join(copies.select("content", F.col("num").alias("first_num")), "content")
-        .join(classes.withColumnRenamed("num", "first_num"), "first_num", "left")
-        .withColumn("class", F.coalesce("class", "first_num"))
-    )
-    named = written(named.select("num", "key", "doc_id", "class"), "classes")
-    first = named.groupBy("class").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "num")).alias("first"), F.count("*").alias("class_size")
-    )
-    return named.join(first, "class").select(
-        "key", "doc_id", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("num") == F.col("first.num")).alias("kept")
-    )
+        out = named.join(first, "class").select(
+            "key", "doc_id", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("num") == F.col("first.num")).alias("kept")
+        )
+        return written(out, "near-classes", keep=True)
+
+
+def _classes(rows: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
+    """num and class of every text that is linked to another. Every pair of texts that share a bucket
+    is aligned, or found apart by length or words, or linked already."""
+    spark = rows.sparkSession
+    with temporary_tables(spark):
+        folds = [folded_bits("bits", i, 2) for i in range(2)]
+        placed = firsts.select("num", "n_words", folds[0].alias("even"), folds[1].alias("odd"), F.explode("buckets").alias("bucket"))
+        shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        met = written(placed.join(shared.withColumnRenamed("n", "size"), "bucket"), "shared-buckets")
+        # texts that meet many others are likely to lie in the middle of their group: they are compared with it first
+        weights = met.groupBy("num").agg(F.sum("size").alias("weight"))
+        left = written(met.drop("size").join(weights, "num").withColumns({"label": F.col("num"), "links": F.lit(0).cast("long")}), "buckets")
+        keys = firsts.select("num", "key", "bits").join(left.select("num").distinct(), "num")
+        # rows that repeat ID and text have one key: their text is taken once
+        texts = keep_matching(rows.select("key", "text"), keys, "key").join(keys, "key").dropDuplicates(["num"])
+        texts = written(texts.select("num", "text", "bits"), "bucket-texts")
+
+        # edits allowed, as ``allowed`` has them; each changes the length by one and the bits by two at most
+        most = F.floor((1 - similarity) * F.greatest("n_words", "p_words") + 1e-9)
+        apart = F.bit_count(F.col("even").bitwiseXOR(F.col("p_even"))) + F.bit_count(F.col("odd").bitwiseXOR(F.col("p_odd")))
+        possible = (F.abs(F.col("n_words") - F.col("p_words")) <= most) & (apart <= 2 * most)
+        verdicts = temporary_path(spark, "verdicts")
+        labels = spark.createDataFrame([], "num long, label long, links long")
+        pivots_each, rounds = 1, 0
+        while not left.isEmpty():
+            # one pivot of each part of a bucket; parts are dealt anew each round
+            part = F.pmod(F.xxhash64("num", F.lit(pivots_each)), F.lit(pivots_each))
+            best = F.min(F.struct((-F.col("links")).alias("rank"), (-F.col("weight")).alias("next"), "num", "label", "n_words", "even", "odd")).alias("pivot")
+            pivots = left.groupBy("bucket", part.alias("part")).agg(best)
+            names = {"num": "p", "label": "p_label", "n_words": "p_words", "even": "p_even", "odd": "p_odd"}
+            pivots = written(pivots.select("bucket", *(F.col(f"pivot.{n}").alias(p) for n, p in names.items())), "pivots")
+            met = left.join(pivots, "bucket").where((F.col("num") != F.col("p")) & (F.col("label") != F.col("p_label")) & possible)
+            pairs = met.select(F.least("num", "p").alias("a"), F.greatest("num", "p").alias("b"), most.alias("most")).distinct()
+            if rounds:
+                pairs = pairs.join(_verdicts(spark, verdicts), ["a", "b"], "left_anti")
+            pairs = written(pairs, "pairs")
+            new = _decided(pairs, texts, similarity)
+            new.write.mode("append").parquet(verdicts)
+            rounds += 1
+            labels = _relabelled(labels, new)
+            # a pivot is decided with all of its bucket; a bucket of texts linked to each other needs no more
+            rest = left.drop("label", "links").join(pivots.select("bucket", F.col("p").alias("num")), ["bucket", "num"], "left_anti")
+            named = rest.join(labels, "num", "left").withColumns({"label": F.coalesce("label", "num"), "links": F.coalesce("links", F.lit(0))})
+            mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+            left = written(named.join(mixed.select("bucket"), "bucket").select(left.columns), "undecided")
+            pivots_each *= 2
+        if not rounds:
+            return spark.createDataFrame([], "num long, class long")
+        found = components(_verdicts(spark, verdicts).where("similar"), "a", "b")
+        return written(found.select(F.col("node").alias("num"), F.col("component").alias("class")), "linked", keep=True)
+
+
+def _verdicts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("a long, b long, similar boolean").parquet(path)
+
+
+def _decided(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """a, b and similar: the pairs aligned that their words do not tell apart. Only those have their texts moved."""
+    bits = [texts.select(F.col("num").alias(x), F.col("bits").alias(f"bits_{x}")) for x in "ab"]
+    apart = sum(F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(PARITY))
+    close = pairs.join(bits[0], "a").join(bits[1], "b").where(apart <= 2 * F.col("most")).select("a", "b")
+    close = written(close, "close-pairs")
+    nums = close.select(F.col("a").alias("num")).union(close.select(F.col("b").alias("num")))
+    needed = keep_matching(texts.select("num", "text"), nums, "num")
+    sides = [needed.select(F.col("num").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"]
+    both = close.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
+    return written(map_batches(both, _aligned(similarity), "a long, b long, similar boolean"), "alignments")
+
+
+def folded_bits(column: str, first: int, step: int) -> Column:
+    """Every ``step``-th long of an array, from ``first`` on, folded into one: two texts differ in no more of its bits."""
+    out = F.col(column)[first]
+    for i in range(first + step, PARITY, step):
+        out = out.bitwiseXOR(F.col(column)[i])
+    return out
