@@ -106,8 +106,8 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         )
         single = one_row_each(rows)
         base = _coded_lines(single)
-        copies = base.groupBy("lid").agg(F.min(_order("num")).alias("first"), F.count("*").alias("times")).where("times > 1")
-        copies = written(copies.select("lid", F.col("first.num").alias("first_num")), "copied-lines")
+        copies = base.groupBy("lid").agg(F.min("num").alias("first_num"), F.count("*").alias("times")).where("times > 1")
+        copies = written(copies.select("lid", "first_num"), "copied-lines")
         marked = join_counted(base, copies, "lid", "left")
         again = marked.where("first_num != num").select("key", "line_no")
         firsts = marked.where("first_num IS NULL OR first_num = num")
@@ -118,39 +118,31 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         done = _verified(led.select(F.col("head.num").alias("x"), F.col("num").alias("y")).distinct(), base, rows)
 
         # the rest: lists by length and position, then their lines
-        groups = placed.groupBy("code", F.col("n").alias("m"), F.col("pos").alias("at")).agg(F.min(_order("num")).alias("earliest"))
+        groups = placed.groupBy("code", F.col("n").alias("m"), F.col("pos").alias("at")).agg(F.min("num").alias("earliest"))
         left = placed.join(done.select(F.col("y").alias("num")).distinct(), "num", "left_anti").where(F.col("head.num") != F.col("num"))
-        left = left.select("code", "num", "n", "pos", _order("num").alias("own"))
-        aimed = left.join(groups, "code").where(
-            (F.col("earliest") < F.col("own")) & _can_match(F.col("m"), F.col("at"), F.col("n"), F.col("pos"))
-        ).select("code", "m", "at", F.col("num").alias("y"), "own")
+        aimed = left.select("code", "num", "n", "pos").join(groups, "code").where(
+            (F.col("earliest") < F.col("num")) & _can_match(F.col("m"), F.col("at"), F.col("n"), F.col("pos"))
+        ).select("code", "m", "at", F.col("num").alias("y"))
         aimed = written(aimed, "aimed-words")
-        earlier = placed.select("code", F.col("n").alias("m"), F.col("pos").alias("at"), F.col("num").alias("x"), _order("num").alias("other"))
-        pairs = aimed.join(earlier, ["code", "m", "at"]).where(F.col("other") < F.col("own")).select("x", "y").distinct()
+        earlier = placed.select("code", F.col("n").alias("m"), F.col("pos").alias("at"), F.col("num").alias("x"))
+        pairs = aimed.join(earlier, ["code", "m", "at"]).where("x < y").select("x", "y").distinct()
         matches = done.union(_verified(pairs, base, rows))
         similar = base.join(matches.select(F.col("y").alias("num")).distinct(), "num", "left_semi").select("key", "line_no")
         found = again.union(similar).groupBy("key").agg(F.collect_set("line_no").alias("removed"))
         return written(found, "removed-lines", keep=True)
 
 
-def _order(num: str) -> Column:
-    """Lines in the order of their documents; numbers go up within a document."""
-    return F.struct("doc_id", "tie", num)
-
-
 def _coded_lines(single: DataFrame) -> DataFrame:
     """A row for each line with words: number, document, digest, words in its set, the first of
-    their codes, and bits of all. ``tie`` orders the texts that share an ID, and is 0 where none does."""
+    their codes, and bits of all. Numbers go up in the order of ID (none first), digest of ID and text, and line."""
     with temporary_tables(single.sparkSession):
-        repeated = single.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1 AND doc_id IS NOT NULL")
-        shares = join_counted(single, written(repeated, "repeated-ids"), "doc_id", "left")
-        tie = F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("long")
-        tied = shares.withColumn("tie", F.when(F.col("texts").isNotNull() | F.col("doc_id").isNull(), tie).otherwise(F.lit(0).cast("long")))
-        lines = tied.select("key", "doc_id", "tie", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        order = [F.col("doc_id").asc_nulls_first(), F.col("key")]
+        ordered = single.repartitionByRange(*order).sortWithinPartitions(*order)
+        lines = ordered.select("key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         coded = lines.withColumn("classes", rarity_classes(single).scalar())
         coded = coded.withColumn("codes", _codes(word_hashes(F.col("line")), F.col("classes"))).withColumn("n", F.size("codes"))
         base = coded.where("n > 0").select(
-            F.monotonically_increasing_id().alias("num"), "key", "doc_id", "tie", "line_no",
+            F.monotonically_increasing_id().alias("num"), "key", "line_no",
             F.unhex(F.md5(F.col("line").cast("binary"))).alias("lid"), "n",
             F.slice("codes", F.lit(1), _prefix(F.col("n")).cast("int")).alias("prefix"),
             _parity(F.col("codes"), 0).alias("even"), _parity(F.col("codes"), 1).alias("odd"),
@@ -161,19 +153,15 @@ def _coded_lines(single: DataFrame) -> DataFrame:
 def _shared_words(firsts: DataFrame) -> DataFrame:
     """The words of prefixes that several lines have, with the lines, and the earliest line of each word."""
     with temporary_tables(firsts.sparkSession):
-        with temporary_tables(firsts.sparkSession):
-            # what most words of a prefix need is to be found in no other: so few columns as can be go there
-            shape = F.col("n").cast("long") * (1 << 32) + F.col("pos")
-            listed = firsts.select("num", "n", F.posexplode("prefix").alias("pos", "code")).select("code", "num", shape.alias("shape"))
-            shared = listed.groupBy("code").agg(F.count("*").alias("times")).where("times > 1").select("code")
-            listed = written(listed.join(shared, "code", "left_semi"), "listed-words")
-            placed = listed.join(firsts.select("num", "doc_id", "tie"), "num").select(
-                "code", "num", "doc_id", "tie", F.shiftright("shape", 32).cast("int").alias("n"),
-                F.col("shape").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"),
-            )
-            placed = written(placed, "placed-words", keep=True)
-        heads = placed.groupBy("code").agg(F.min(F.struct("doc_id", "tie", "num", "n", "pos")).alias("head"))
-        return written(placed.join(heads.select("code", F.struct("head.num", "head.n", "head.pos").alias("head")), "code"), "shared-words", keep=True)
+        # what most words of a prefix need is to be found in no other: so few columns as can be go there
+        shape = F.col("n").cast("long") * (1 << 32) + F.col("pos")
+        listed = firsts.select("num", "n", F.posexplode("prefix").alias("pos", "code")).select("code", "num", shape.alias("shape"))
+        least = F.min(F.struct("num", "shape")).alias("head")
+        shared = listed.groupBy("code").agg(F.count("*").alias("times"), least).where("times > 1").select("code", "head")
+        unpacked = lambda shape: (F.shiftright(shape, 32).cast("int"), shape.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
+        (n, pos), (head_n, head_pos) = unpacked(F.col("shape")), unpacked(F.col("head.shape"))
+        head = F.struct(F.col("head.num").alias("num"), head_n.alias("n"), head_pos.alias("pos"))
+        return written(listed.join(shared, "code").select("code", "num", n.alias("n"), pos.alias("pos"), head.alias("head")), "shared-words", keep=True)
 
 
 def without_lines(
