@@ -11,7 +11,6 @@ group soon links it. No bucket is capped, and nothing is dropped before it is co
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
