@@ -425,10 +425,8 @@ def multi_output(spark, sf_dir):
     )
     rows = json_items("conditional").union(everything).union(windowed).union(failed)
     # A row of zero for each, so that an output that took nothing shows.
-    names = spark.createDataFrame(
-        [(n, 0, None) for n in ("conditional", "everything", "windowed", "failed")],
-        "output string, docs long, items long",
-    )
+    each = F.explode(F.array(*(F.lit(n) for n in ("conditional", "everything", "windowed", "failed"))))
+    names = spark.range(1).select(each.alias("output"), F.lit(0).cast("long").alias("docs"), F.lit(None).cast("long").alias("items"))
     counted = names.union(rows.select("output", F.lit(1).cast("long"), "items"))
     return counted.groupBy("output").agg(F.sum("docs").alias("docs"), F.sum("items").alias("items"))
 

@@ -30,6 +30,19 @@ class _Given:
         return list(run(iter([self.batch])))
 
 
+def test_chunks_render_each_row_once(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def text(n):
+        calls.add(1)
+        return f"{n}" if n % 3 else None
+
+    rows = spark.range(9).select(F.udf(text, "string")("id").alias("rendered"))
+    wrote = chunks.write_chunks(rows, str(tmp_path / "out"))
+    assert sum(r["docs"] for r in wrote.collect()) == 6
+    assert calls.value == 9
+
+
 def test_type_as_property_does_not_sort_annotations(spark):
     plan = plan_of(catalog.QUERIES["type_as_property"](spark, SF))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
