@@ -43,6 +43,21 @@ def test_chunks_render_each_row_once(spark, tmp_path):
     assert calls.value == 9
 
 
+def test_chunk_writers_hold_few_texts(monkeypatch):
+    sizes = []
+
+    class Column:
+        def __len__(self):
+            return 1000
+
+        def slice(self, begin, size):
+            sizes.append(size)
+            return pa.array(["a", None] * 500).slice(begin, size)
+
+    assert list(chunks._texts(Column())) == ["a"] * 500
+    assert max(sizes) <= 100
+
+
 def test_type_as_property_does_not_sort_annotations(spark):
     plan = plan_of(catalog.QUERIES["type_as_property"](spark, SF))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
