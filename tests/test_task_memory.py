@@ -58,6 +58,19 @@ def test_chunk_writers_hold_few_texts(monkeypatch):
     assert max(sizes) <= 100
 
 
+def test_a_ledger_that_is_not_there_needs_no_python(spark, tmp_path):
+    empty = ledgers.read_ledger(spark, str(tmp_path / "none"))
+    assert "ExistingRDD" not in plan_of(empty)
+    assert empty.isEmpty() and empty.schema.simpleString() == ledgers.ledger_schema().simpleString()
+
+
+def test_annotators_are_given_about_a_million_characters():
+    batch = pa.RecordBatch.from_pydict({"text": ["ab " * 100_000] * 20})
+    parts = list(small_parts(batch))
+    assert sum(p.num_rows for p in parts) == 20
+    assert max(p.num_rows for p in parts) * 300_000 < 2 << 20
+
+
 def test_type_as_property_does_not_sort_annotations(spark):
     plan = plan_of(catalog.QUERIES["type_as_property"](spark, SF))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
