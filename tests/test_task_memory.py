@@ -71,6 +71,14 @@ def test_annotators_are_given_about_a_million_characters():
     assert max(p.num_rows for p in parts) * 300_000 < 2 << 20
 
 
+@pytest.mark.parametrize("features", [False, True])
+def test_inline_sends_only_what_tags_need(spark, features):
+    found = catalog.annotate_batches(catalog.documents(spark, SF), tokens())
+    plan = render.with_inline(found, include_features=features)._jdf.queryExecution().analyzed()
+    sent = plan.children().head().schema().apply("annotations").dataType().simpleString()
+    assert "set_name" not in sent and ("features" in sent) == features
+
+
 def test_type_as_property_does_not_sort_annotations(spark):
     plan = plan_of(catalog.QUERIES["type_as_property"](spark, SF))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
