@@ -64,6 +64,12 @@ def test_a_ledger_that_is_not_there_needs_no_python(spark, tmp_path):
     assert empty.isEmpty() and empty.schema.simpleString() == ledgers.ledger_schema().simpleString()
 
 
+def test_named_files_are_taken_in_small_parts():
+    batch = pa.RecordBatch.from_pydict({"rendered": ["x" * 1000] * 20})
+    assert [p.num_rows for p in small_parts(batch, 5000, "rendered")] == [4, 5, 5, 5, 1]
+
+
+
 def test_annotators_are_given_about_a_million_characters():
     batch = pa.RecordBatch.from_pydict({"text": ["ab " * 100_000] * 20})
     parts = list(small_parts(batch))
