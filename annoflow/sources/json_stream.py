@@ -21,6 +21,7 @@ from pyspark.sql.column import Column
 from annoflow.functions.ids import id_from_pointer, id_from_template, is_document
 from annoflow.functions.values import bind
 from annoflow.model import DOCUMENT, as_documents
+from annoflow.operators.annotate import small_parts
 from annoflow.operators.spread import spread
 from annoflow.session import written
 from annoflow.sources import storage
@@ -164,7 +165,7 @@ def compact(df: DataFrame, column: str) -> DataFrame:
     schema = pa.schema([("json", pa.string())])
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in incoming:
+        for batch in (part for whole in incoming for part in small_parts(whole, column=column)):
             texts = [_compact(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], schema=schema)
 

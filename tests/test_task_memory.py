@@ -69,6 +69,11 @@ def test_named_files_are_taken_in_small_parts():
     assert [p.num_rows for p in small_parts(batch, 5000, "rendered")] == [4, 5, 5, 5, 1]
 
 
+def test_lines_are_made_compact_in_small_parts():
+    texts = pa.RecordBatch.from_pydict({"value": ['{"a" : "%s"}' % ("x" * 300_000)] * 10})
+    parts = json_stream.compact(_Given(texts), "value")
+    assert len(parts) > 2 and sum(p.num_rows for p in parts) == 10
+
 
 def test_annotators_are_given_about_a_million_characters():
     batch = pa.RecordBatch.from_pydict({"text": ["ab " * 100_000] * 20})
