@@ -5,7 +5,7 @@ the smallest hashes and keeps them in text order, so that it tells texts that
 have the same shingles in another order apart. Texts with an equal sketch share a
 bucket. All pairs of a bucket are decided: some texts of it, its pivots, are aligned with
 all others but those already linked to them, then leave it; where texts of several classes
-stay, twice as many pivots follow. Texts with most links are pivots first, so the middle of a large
+stay, four times as many pivots follow. Texts with most links are pivots first, so the middle of a large
 group soon links it. No bucket is capped, and nothing is dropped before it is compared.
 """
 
@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from annoflow.llm.common import content_key, id_and_text, keep_matching, map_batches
+from annoflow.llm.common import content_key, id_and_text, join_counted, keep_matching, map_batches, one_row_each
 from annoflow.llm.components import components
 from annoflow.llm.hashing import BASE, STEP, mix, prefix_sums, run_hashes
 from annoflow.session import temporary_path, temporary_tables, written
@@ -29,6 +29,8 @@ KINDS = ((8, 30, 2, 2), (24, 100, 2, 3), (80, 1 << 60, 3, 2))
 TINY = 9
 #: Bits of a text that tell by their parity how many words differ at least, in longs.
 PARITY = 16
+#: Texts of so many words, for which these bits are too few, have ``FINE`` longs more of them.
+LONG, FINE = 500, 64
 #: Least share of words that alignment leaves as they are.
 SIMILARITY = 0.8
 
@@ -56,7 +58,9 @@ def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
 
 
 def labelled(shingles: np.ndarray) -> np.ndarray:
-    """Shingles told apart by how many equal ones came before."""
+    """Shingles (or words) told apart by how many equal ones came before."""
+    if not len(shingles):
+        return shingles
     order = np.argsort(shingles, kind="stable")
     ordered = shingles[order]
     heads = np.concatenate([[True], ordered[1:] != ordered[:-1]])
@@ -111,10 +115,10 @@ def bucket_keys(words: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
 
 
-def parity_bits(words: np.ndarray) -> np.ndarray:
-    """For each of 64 * ``PARITY`` classes of words, whether the text has an odd number of them: an edit
-    changes two of these bits at most."""
-    odd = np.bincount((words >> np.uint64(20)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
+def parity_bits(marks: np.ndarray, longs: int = PARITY) -> np.ndarray:
+    """For each of 64 * ``longs`` classes of labelled words, whether the text has an odd number of them: an edit
+    takes away the last label of one word at most, and adds one to another, so it changes two bits at most."""
+    odd = np.bincount((marks >> np.uint64(20)).astype(np.int64) % (64 * longs), minlength=64 * longs) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -259,20 +263,22 @@ def similar(a: list[np.ndarray], b: list[np.ndarray], similarity: float) -> list
 
 
 def _sketched(batch: pa.RecordBatch) -> pa.RecordBatch:
-    found, bits, counts, sizes = [], [], [0], []
+    found, bits, fine, counts, sizes = [], [], [], [0], []
     for value in batch.column(2):
         words = word_hashes(value.as_py())
         keys = bucket_keys(words)
         found.append(keys)
-        bits.append(parity_bits(words))
+        marks = labelled(words)
+        bits.append(parity_bits(marks))
+        fine.append(parity_bits(marks, FINE) if len(words) >= LONG else None)
         counts.append(counts[-1] + len(keys))
         sizes.append(len(words))
     flat = np.concatenate(found).view(np.int64)
     places = pa.array(np.arange(len(bits) + 1) * PARITY, pa.int32())
     return pa.RecordBatch.from_arrays(
         [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(flat)),
-         pa.ListArray.from_arrays(places, pa.array(np.concatenate(bits)))],
-        names=["key", "doc_id", "n_words", "buckets", "bits"],
+         pa.ListArray.from_arrays(places, pa.array(np.concatenate(bits))), pa.array(fine, pa.list_(pa.int64()))],
+        names=["key", "doc_id", "n_words", "buckets", "bits", "fine"],
     )
 
 
@@ -334,7 +340,7 @@ def near_classes(
         rows = id_and_text(docs, id_col, text_col).select(
             content_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
         )
-        schema = "key binary, doc_id long, n_words int, buckets array<long>, bits array<long>, content binary"
+        schema = "key binary, doc_id long, n_words int, buckets array<long>, bits array<long>, fine array<long>, content binary"
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = _sketched(batch)
@@ -343,7 +349,10 @@ def near_classes(
         base = map_batches(rows.withColumn("content", F.unhex(F.md5(F.col("text").cast("binary")))), run, schema)
         base = written(base.withColumn("num", F.monotonically_increasing_id()), "sketches")
         copies = written(base.groupBy("content").agg(F.min("num").alias("num"), F.count("*").alias("copies")), "different-texts")
-        classes = _classes(rows, base.join(copies.select("num"), "num", "left_semi"), similarity)
+        repeated = copies.where("copies > 1").select("content", F.col("num").alias("first_num"))
+        repeats = join_counted(base.select("num", "content"), repeated, "content").where("num != first_num")
+        # the sketches are not shuffled to leave out the few texts that were there before
+        classes = _classes(rows, keep_matching(base, written(repeats.select("num"), "repeats"), "num", "left_anti"), similarity)
         named = (
             base.select("num", "key", "doc_id", "content").join(copies.select("content", F.col("num").alias("first_num")), "content")
             .join(classes.withColumnRenamed("num", "first_num"), "first_num", "left")
@@ -364,48 +373,61 @@ def _classes(rows: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame
     is aligned, or found apart by length or words, or linked already."""
     spark = rows.sparkSession
     with temporary_tables(spark):
-        folds = [folded_bits("bits", i, 2) for i in range(2)]
-        placed = firsts.select("num", "n_words", folds[0].alias("even"), folds[1].alias("odd"), F.explode("buckets").alias("bucket"))
-        shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        met = written(placed.join(shared.withColumnRenamed("n", "size"), "bucket"), "shared-buckets")
+        # most buckets hold one text: what is sorted to find the others is as narrow as can be
+        placed = firsts.select("num", F.explode("buckets").alias("bucket"))
+        shared = written(placed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket-sizes")
+        met = written(placed.join(shared, "bucket"), "shared-buckets")
         # texts that meet many others are likely to lie in the middle of their group: they are compared with it first
         weights = met.groupBy("num").agg(F.sum("size").alias("weight"))
+        weights = weights.join(firsts.select("num", "n_words", *(folded_bits("bits", i, 2).alias(x) for i, x in enumerate(("even", "odd")))), "num")
         left = written(met.drop("size").join(weights, "num").withColumns({"label": F.col("num"), "links": F.lit(0).cast("long")}), "buckets")
-        keys = firsts.select("num", "key", "bits").join(left.select("num").distinct(), "num")
+        keys = written(firsts.select("num", "key", "bits", "fine").join(left.select("num").distinct(), "num"), "bucket-keys")
         # rows that repeat ID and text have one key: their text is taken once
-        texts = keep_matching(rows.select("key", "text"), keys, "key").join(keys, "key").dropDuplicates(["num"])
-        texts = written(texts.select("num", "text", "bits"), "bucket-texts")
+        texts = keep_matching(one_row_each(rows.select("key", "text")), keys, "key")
+        texts = written(texts.join(keys, "key").select("num", "text", "bits", "fine"), "bucket-texts")
 
-        # edits allowed, as ``allowed`` has them; each changes the length by one and the bits by two at most
+        # edits allowed, as ``allowed`` has them; each changes the length by one at most, and one that changes it
+        # changes one bit at most, any other two
         most = F.floor((1 - similarity) * F.greatest("n_words", "p_words") + 1e-9)
-        apart = F.bit_count(F.col("even").bitwiseXOR(F.col("p_even"))) + F.bit_count(F.col("odd").bitwiseXOR(F.col("p_odd")))
-        possible = (F.abs(F.col("n_words") - F.col("p_words")) <= most) & (apart <= 2 * most)
+        longer = F.abs(F.col("n_words") - F.col("p_words"))
+        folded = sum(F.bit_count(F.col(x).bitwiseXOR(F.col(f"p_{x}"))) for x in ("even", "odd"))
         verdicts = temporary_path(spark, "verdicts")
         labels = spark.createDataFrame([], "num long, label long, links long")
-        pivots_each, rounds = 1, 0
+        pivots_each, decided = 1, False
+        # the first round looks at one pair a row; those that follow have all bits at hand, and few rows
+        names = {"num": "p", "label": "p_label", "n_words": "p_words", "even": "p_even", "odd": "p_odd"}
+        possible = (longer <= most) & (longer + folded <= 2 * most)
         while not left.isEmpty():
             # one pivot of each part of a bucket; parts are dealt anew each round
             part = F.pmod(F.xxhash64("num", F.lit(pivots_each)), F.lit(pivots_each))
-            best = F.min(F.struct((-F.col("links")).alias("rank"), (-F.col("weight")).alias("next"), "num", "label", "n_words", "even", "odd")).alias("pivot")
+            best = F.min(F.struct((-F.col("links")).alias("rank"), (-F.col("weight")).alias("next"), *names)).alias("pivot")
             pivots = left.groupBy("bucket", part.alias("part")).agg(best)
-            names = {"num": "p", "label": "p_label", "n_words": "p_words", "even": "p_even", "odd": "p_odd"}
             pivots = written(pivots.select("bucket", *(F.col(f"pivot.{n}").alias(p) for n, p in names.items())), "pivots")
             met = left.join(pivots, "bucket").where((F.col("num") != F.col("p")) & (F.col("label") != F.col("p_label")) & possible)
             pairs = met.select(F.least("num", "p").alias("a"), F.greatest("num", "p").alias("b"), most.alias("most")).distinct()
-            if rounds:
+            if decided:
                 pairs = pairs.join(_verdicts(spark, verdicts), ["a", "b"], "left_anti")
             pairs = written(pairs, "pairs")
-            new = _decided(pairs, texts, similarity)
-            new.write.mode("append").parquet(verdicts)
-            rounds += 1
-            labels = _relabelled(labels, new)
+            if pivots_each == 1:
+                pairs = _close(pairs, texts)
+            if not pairs.isEmpty():
+                new = _decided(pairs, texts, similarity)
+                new.write.mode("append").parquet(verdicts)
+                decided = True
+                if not new.where("similar").isEmpty():
+                    labels = _relabelled(labels, new)
             # a pivot is decided with all of its bucket; a bucket of texts linked to each other needs no more
             rest = left.drop("label", "links").join(pivots.select("bucket", F.col("p").alias("num")), ["bucket", "num"], "left_anti")
             named = rest.join(labels, "num", "left").withColumns({"label": F.coalesce("label", "num"), "links": F.coalesce("links", F.lit(0))})
             mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-            left = written(named.join(mixed.select("bucket"), "bucket").select(left.columns), "undecided")
-            pivots_each *= 2
-        if not rounds:
+            left = named.join(mixed.select("bucket"), "bucket").select(left.columns)
+            if pivots_each == 1:
+                left = left.drop("even", "odd").join(texts.select("num", "bits", "fine"), "num")
+                names = {"num": "p", "label": "p_label", "n_words": "p_words", "bits": "p_bits", "fine": "p_fine"}
+                possible = (longer <= most) & (longer + bits_apart("bits", "p_bits") <= 2 * most) & (longer + fine_apart("fine", "p_fine") <= 2 * most)
+            left = written(left, "undecided")
+            pivots_each *= 4
+        if not decided:
             return spark.createDataFrame([], "num long, class long")
         found = components(_verdicts(spark, verdicts).where("similar"), "a", "b")
         return written(found.select(F.col("node").alias("num"), F.col("component").alias("class")), "linked", keep=True)
@@ -415,12 +437,16 @@ def _verdicts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("a long, b long, similar boolean").parquet(path)
 
 
-def _decided(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """a, b and similar: the pairs aligned that their words do not tell apart. Only those have their texts moved."""
-    bits = [texts.select(F.col("num").alias(x), F.col("bits").alias(f"bits_{x}")) for x in "ab"]
-    apart = sum(F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(PARITY))
-    close = pairs.join(bits[0], "a").join(bits[1], "b").where(apart <= 2 * F.col("most")).select("a", "b")
-    close = written(close, "close-pairs")
+def _close(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs that all bits of their words do not tell apart."""
+    bits = [texts.select(F.col("num").alias(x), F.col("bits").alias(f"bits_{x}"), F.col("fine").alias(f"fine_{x}")) for x in "ab"]
+    apart = F.greatest(bits_apart("bits_a", "bits_b"), fine_apart("fine_a", "fine_b"))
+    return written(pairs.join(bits[0], "a").join(bits[1], "b").where(apart <= 2 * F.col("most")).select("a", "b"), "close-pairs")
+
+
+def _decided(close: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """a, b and similar: the pairs aligned. Only theirs are the texts that are moved."""
+    close = close.select("a", "b")
     nums = close.select(F.col("a").alias("num")).union(close.select(F.col("b").alias("num")))
     needed = keep_matching(texts.select("num", "text"), nums, "num")
     sides = [needed.select(F.col("num").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"]
@@ -434,3 +460,14 @@ def folded_bits(column: str, first: int, step: int) -> Column:
     for i in range(first + step, PARITY, step):
         out = out.bitwiseXOR(F.col(column)[i])
     return out
+
+
+def bits_apart(a: str, b: str) -> Column:
+    """In how many of their bits two arrays of ``PARITY`` longs differ."""
+    return sum(F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(PARITY))
+
+
+def fine_apart(a: str, b: str) -> Column:
+    """The same for two arrays of ``FINE`` longs; 0 if one is missing."""
+    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    return F.coalesce(apart, F.lit(0))

@@ -318,6 +318,37 @@ def test_near_classes_of_one_text_with_many_copies(make_docs):
     assert got == {i: 0 if i < n else i for i in range(n + 40)}
 
 
+def test_unlike_texts_with_a_common_passage_are_told_apart_before_they_are_paired(make_docs, monkeypatch):
+    rows, real = [], near_dup.written
+
+    def counted(df, name, *args, **kwargs):
+        out = real(df, name, *args, **kwargs)
+        if name == "pairs":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "written", counted)
+    draw = random.Random(16)
+    passage = unlike(draw, 60)
+    texts = [" ".join(passage + unlike(draw, 240)) for _ in range(40)]
+    # few different words, each many times over
+    texts += [" ".join(passage + [w for w in unlike(draw, 20) for _ in range(draw.randrange(11, 14))]) for _ in range(40)]
+    got = {r.doc_id: r.class_id for r in near_dup.near_classes(make_docs(list(enumerate(texts)))).collect()}
+    assert got == {i: i for i in range(80)}
+    assert len(rows) > 3 and sum(rows[1:]) < 40
+
+
+def test_bits_bound_the_edits():
+    draw = random.Random(17)
+    for _ in range(200):
+        a = [draw.choice("abcdefgh") for _ in range(draw.randrange(60))]
+        b = [draw.choice([x, x, x, x, "y"]) for x in a if draw.random() > 0.1] + ["z"] * draw.randrange(4)
+        for longs in (near_dup.PARITY, near_dup.FINE):
+            one, two = (near_dup.parity_bits(near_dup.labelled(near_dup.word_hashes(" ".join(x))), longs) for x in (a, b))
+            apart = sum(int(x).bit_count() for x in (one ^ two).view(np.uint64))
+            assert apart + abs(len(a) - len(b)) <= 2 * word_edits(a, b)
+
+
 def test_near_classes_at_the_limit(make_docs):
     draw = random.Random(13)
     rows = []
