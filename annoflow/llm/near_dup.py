@@ -299,6 +299,13 @@ def _aligned(similarity: float):
     return run
 
 
+def _labelled(new: DataFrame) -> DataFrame:
+    """The table that ``_relabelled`` returns, of the first links: labels are smallest texts of components."""
+    links = new.where("similar").select(F.explode(F.array("a", "b")).alias("num")).groupBy("num").agg(F.count("*").alias("links"))
+    found = components(new.where("similar"), "a", "b").select(F.col("node").alias("num"), F.col("component").alias("label"))
+    return written(found.join(links, "num").select("num", "label", "links"), "labels")
+
+
 def _relabelled(labels: DataFrame, new: DataFrame) -> DataFrame:
     """num, label (a text it is linked to over any steps, the smallest one known) and links of each
     linked text, from those before and the new links."""
@@ -415,7 +422,8 @@ def _classes(rows: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame
                 new.write.mode("append").parquet(verdicts)
                 decided = True
                 if not new.where("similar").isEmpty():
-                    labels = _relabelled(labels, new)
+                    # nearly all links are found first: what they link over any steps is not compared again
+                    labels = _relabelled(labels, new) if pivots_each > 1 else _labelled(new)
             # a pivot is decided with all of its bucket; a bucket of texts linked to each other needs no more
             rest = left.drop("label", "links").join(pivots.select("bucket", F.col("p").alias("num")), ["bucket", "num"], "left_anti")
             named = rest.join(labels, "num", "left").withColumns({"label": F.coalesce("label", "num"), "links": F.coalesce("links", F.lit(0))})
