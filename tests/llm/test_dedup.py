@@ -3,12 +3,13 @@
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
 import pytest
 
-from annoflow.llm import chunk_dedup, near_dup, suffix_dedup
+from annoflow.llm import chunk_dedup, line_dedup, near_dup, suffix_dedup
 from annoflow.llm.components import components
 from annoflow.llm.line_dedup import LINES_SQL, later_lines, without_lines
 
@@ -218,6 +219,28 @@ def test_line_dedup_agrees_with_sql_on_odd_rows(spark, make_docs):
         assert got == Counter(con.sql(LINES_SQL).fetchall())
 
 
+def test_prefixes_are_gone_when_candidates_are_sought(make_docs, monkeypatch):
+    tables, real = {}, line_dedup.written
+
+    def seen(df, name, *args, **kwargs):
+        if name == "aimed-words":
+            root = Path(next(iter(tables.values()))).parent
+            there.extend(x for x in tables if (root / Path(tables[x]).name).exists())
+        out = real(df, name, *args, **kwargs)
+        if out.inputFiles():
+            tables[name] = str(Path(out.inputFiles()[0].removeprefix("file://")).parent)
+        return out
+
+    there = []
+    monkeypatch.setattr(line_dedup, "written", seen)
+    draw = random.Random(22)
+    words = prose(draw, 30).split()
+    rows = [(i, "\n".join(" ".join(draw.sample(words, 10)) for _ in range(4))) for i in range(30)]
+    later_lines(make_docs(rows)).count()
+    assert "slim-lines" in there and "shared-words" in there
+    assert not {"lines", "copied-lines", "rarity"} & set(there)
+
+
 # --- near duplicates --------------------------------------------------------------
 
 
