@@ -241,6 +241,28 @@ def test_prefixes_are_gone_when_candidates_are_sought(make_docs, monkeypatch):
     assert not {"lines", "copied-lines", "rarity"} & set(there)
 
 
+def test_words_and_pairs_of_lines_are_never_rows_of_a_table(make_docs, monkeypatch):
+    rows_of, real = Counter(), line_dedup.written
+
+    def seen(df, name, *args, **kwargs):
+        out = real(df, name, *args, **kwargs)
+        rows_of[name] = max(rows_of[name], out.count())
+        return out
+
+    draw = random.Random(23)
+    words = ["w%d" % i for i in range(60)]
+    # lists of hundreds of lines of all lengths under each word, few of them alike
+    lines = [draw.sample(words, draw.randrange(6, 40)) for _ in range(300)]
+    lines += [[*line[1:], "new%d" % i] for i, line in enumerate(lines[:40])]
+    rows = [(i, "\n".join(map(" ".join, lines[i::40]))) for i in range(40)]
+    docs = make_docs(rows)
+    monkeypatch.setattr(line_dedup, "written", seen)
+    monkeypatch.setattr(line_dedup, "SHARE_WORDS", 300, raising=False)
+    got = without_lines(docs, later_lines(docs)).collect()
+    assert {r.doc_id: r.text or "" for r in got} == brute_lines(rows)
+    assert max(n for name, n in rows_of.items() if name != "rarity") <= len(lines)
+
+
 # --- near duplicates --------------------------------------------------------------
 
 
